@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A value is counted in units of 1e-8. The count is summed in two parts of which
 # neither can overflow a long before some 10^12 rows, so the sum needs no wide
 # decimals and does not depend on the order of the rows.
-_UNITS = 1e8
+_UNITS = "1e8D"
 _LOW_BITS = 20
 
 
@@ -16,39 +20,66 @@ def _as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def exact_sum(value: Column | str) -> Column:
+def exact_sum(name: str) -> Column:
     """Sum of a double column, exact to eight decimals and independent of row order.
 
     Values must lie within +-9e10, as amounts and distances do.
     """
-    units = F.rint(_as_column(value).cast("double") * F.lit(_UNITS)).cast("long")
-    high = F.sum(F.shiftright(units, _LOW_BITS)).cast("decimal(19,0)")
-    low = F.sum(units.bitwiseAND(F.lit((1 << _LOW_BITS) - 1))).cast("decimal(19,0)")
-    total = high * F.lit(1 << _LOW_BITS).cast("decimal(7,0)") + low
-    return total.cast("double") / F.lit(_UNITS)
+    units = f"CAST(rint(`{name}` * {_UNITS}) AS BIGINT)"
+    block = 1 << _LOW_BITS
+    return F.expr(
+        f"CAST(CAST(sum(shiftright({units}, {_LOW_BITS})) AS DECIMAL(19, 0)) * {block}"
+        f" + CAST(sum({units} & {block - 1}L) AS DECIMAL(19, 0)) AS DOUBLE) / {_UNITS}"
+    )
 
 
-def exact_avg(value: Column | str) -> Column:
+def exact_avg(name: str) -> Column:
     """Mean of the non-null values, from :func:`exact_sum`; null when there are none."""
-    value = _as_column(value)
-    return F.try_divide(exact_sum(value), F.count(value))
+    return F.try_divide(exact_sum(name), F.count(name))
 
 
-def mean_of(value: Column | str, exact: bool = True) -> Column:
+def mean_of(name: str, exact: bool = True) -> Column:
     """Either :func:`exact_avg` or Spark's own ``avg``."""
-    return exact_avg(value) if exact else F.avg(_as_column(value))
+    return exact_avg(name) if exact else F.avg(name)
+
+
+def round_half_up(value: Column, digits: int) -> Column:
+    """Spark's ``round``, of which only values close to a tie pay the price.
+
+    ``round`` goes through the decimal text of every double. Away from ties the nearest
+    multiple is the same number, and one rounding instruction finds it.
+    """
+    scaled = value * float(10**digits)
+    nearest = F.rint(scaled)
+    clear = (F.abs(scaled - nearest) < 0.499999) & (F.abs(scaled) < 1e9)
+    # Adding zero turns -0.0 into 0.0.
+    return F.when(clear, nearest / float(10**digits) + 0.0).otherwise(F.round(value, digits))
+
+
+def rounds_into(value: Column, low: float | None, high: float | None, digits: int) -> Column:
+    """Whether the rounded value lies within [low, high], without rounding it.
+
+    For bounds that are not negative: half a step outside them is where rounding flips.
+    """
+    half = Decimal(5).scaleb(-digits - 1)
+    terms = []
+    if low is not None:
+        terms.append(value >= float(Decimal(str(low)) - half))
+    if high is not None:
+        terms.append(value < float(Decimal(str(high)) + half))
+    return reduce(and_, terms)
 
 
 def ratio(part: Column | str, whole: Column | str, digits: int | None = None) -> Column:
     """``part / whole``, null where ``whole`` is zero, rounded half up if asked."""
     quotient = F.try_divide(_as_column(part), _as_column(whole))
-    return quotient if digits is None else F.round(quotient, digits)
+    return quotient if digits is None else round_half_up(quotient, digits)
 
 
 def percent(part: Column | str, whole: Column | str, digits: int = 1) -> Column:
     """Share of ``whole`` in percent."""
     share = F.try_divide(_as_column(part).cast("double"), _as_column(whole).cast("double"))
-    return F.round(share * F.lit(100.0), digits)
+    return F.round(share * 100.0, digits)
 
 
 def clip(value: Column | str, low: float, high: float) -> Column:

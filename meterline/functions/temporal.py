@@ -5,21 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from meterline.functions.numeric import round_half_up
 from meterline.schema import DAY_PARTS, LAST_DAY_PART
 
 
 def elapsed_seconds(start: str, end: str) -> Column:
-    return F.unix_timestamp(F.col(end)) - F.unix_timestamp(F.col(start))
+    return F.expr(f"unix_timestamp(`{end}`) - unix_timestamp(`{start}`)")
 
 
 def elapsed_minutes(start: str, end: str) -> Column:
     """Minutes from start to end, to two decimals."""
-    return F.round(elapsed_seconds(start, end) / F.lit(60.0), 2)
+    return round_half_up(elapsed_seconds(start, end) / 60.0, 2)
 
 
 def weekend_flag(weekday: Column) -> Column:
     """1 on Saturday (7) and Sunday (1), else 0."""
-    return F.when(weekday.isin(1, 7), F.lit(1)).otherwise(F.lit(0))
+    return F.when(weekday.isin(1, 7), 1).otherwise(0)
 
 
 def day_part(hour: Column) -> Column:
@@ -27,9 +28,9 @@ def day_part(hour: Column) -> Column:
     named = F
     first = 0
     for last, label in DAY_PARTS:
-        named = named.when(hour.between(first, last), F.lit(label))
+        named = named.when(hour.between(first, last), label)
         first = last + 1
-    return named.otherwise(F.lit(LAST_DAY_PART))
+    return named.otherwise(LAST_DAY_PART)
 
 
 def within_days(moment: str, first: str, end: str) -> Column:

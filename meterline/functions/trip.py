@@ -10,14 +10,19 @@ from meterline.functions.temporal import elapsed_seconds
 from meterline.schema import AIRPORT_ZONES, DROPOFF, GENEROUS_ABOVE, PICKUP
 
 
-def speed_mph(distance: str = "trip_distance", start: str = PICKUP, end: str = DROPOFF) -> Column:
-    """Average speed to two decimals; null for a trip that takes no time."""
-    return ratio(distance, elapsed_seconds(start, end) / F.lit(3600.0), 2)
+def speed_mph(
+    distance: str = "trip_distance",
+    start: str = PICKUP,
+    end: str = DROPOFF,
+    digits: int | None = 2,
+) -> Column:
+    """Average speed; null for a trip that takes no time."""
+    return ratio(distance, elapsed_seconds(start, end) / 3600.0, digits)
 
 
 def speed_from_minutes(distance: str, minutes: str) -> Column:
     """Average speed of a request, which gives its duration in minutes. Not rounded."""
-    return ratio(distance, F.col(minutes) / F.lit(60.0))
+    return ratio(distance, F.col(minutes) / 60.0)
 
 
 def tip_share(tip: str = "tip_amount", fare: str = "fare_amount") -> Column:
@@ -32,9 +37,9 @@ def fare_per_mile(fare: str = "fare_amount", distance: str = "trip_distance") ->
 def airport_flag(pickup_zone: str = "pulocationid", dropoff_zone: str = "dolocationid") -> Column:
     """1 where the trip starts or ends at an airport, else 0."""
     touches = F.col(pickup_zone).isin(*AIRPORT_ZONES) | F.col(dropoff_zone).isin(*AIRPORT_ZONES)
-    return F.when(touches, F.lit(1)).otherwise(F.lit(0))
+    return F.when(touches, 1).otherwise(0)
 
 
 def generous_flag(share: Column) -> Column:
     """The label: 1 where the tip share is above the bar, else 0 (also for null)."""
-    return F.when(share > F.lit(GENEROUS_ABOVE), F.lit(1)).otherwise(F.lit(0))
+    return F.when(share > GENEROUS_ABOVE, 1).otherwise(0)

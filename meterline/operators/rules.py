@@ -10,7 +10,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.temporal import elapsed_minutes, within_days
+from meterline.functions.numeric import rounds_into
+from meterline.functions.temporal import elapsed_seconds, within_days
 from meterline.functions.trip import speed_from_minutes, speed_mph
 from meterline.schema import DROPOFF, PICKUP, REQUEST_DEFAULTS, RequestLimits, TripLimits
 
@@ -46,10 +47,12 @@ def trip_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
 
 
 def physics_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
-    """Rules on duration and speed, computed from the raw columns."""
+    """Rules on duration and speed, each to two decimals, from the raw columns."""
+    minutes = elapsed_seconds(PICKUP, DROPOFF) / 60.0
+    speed = speed_mph(digits=None)
     return [
-        Rule("duration_in_range", elapsed_minutes(PICKUP, DROPOFF).between(*limits.duration_min)),
-        Rule("speed_possible", speed_mph() <= limits.top_speed_mph),
+        Rule("duration_in_range", rounds_into(minutes, *limits.duration_min, digits=2)),
+        Rule("speed_possible", rounds_into(speed, None, limits.top_speed_mph, digits=2)),
     ]
 
 

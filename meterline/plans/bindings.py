@@ -6,7 +6,7 @@ quantity give fare and distance, and so on. Every order line is used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.schema import DROPOFF, MONTH, PICKUP, TripLimits
@@ -23,12 +23,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _later(seconds: Column, moment: str) -> Column:
-    return F.timestamp_add("SECOND", seconds, F.col(moment))
+_CLOCK = "l_orderkey * 7919 % 86400"
+_FARE = "l_extendedprice / 200"
+_TIP = f"({_FARE}) * (l_discount - 0.005D) * 3"
+_TOLLS = "l_tax * 100"
 
-
-def _unless(missing: Column, value: Column) -> Column:
-    return F.when(~missing, value)
+_TRIP = [
+    *TRIP_KEYS,
+    f"timestampadd(SECOND, {_CLOCK}, o_orderdate) AS {PICKUP}",
+    f"timestampadd(SECOND, {_CLOCK} + l_partkey * 37 % 12000 - 300, o_orderdate) AS {DROPOFF}",
+    "l_suppkey % 2 + 1 AS vendorid",
+    "l_suppkey % 8 AS payment_type",
+    "IF(l_partkey % 10 = 0, NULL, CAST(l_linenumber AS BIGINT)) AS passenger_count",
+    "IF(l_partkey % 11 = 0, NULL, CAST(l_linenumber % 6 + 1 AS BIGINT)) AS ratecodeid",
+    "CASE WHEN l_partkey % 13 = 0 THEN NULL WHEN l_linestatus = 'F' THEN 'Y' ELSE 'N' END"
+    " AS store_and_fwd_flag",
+    "IF(l_partkey % 7 = 0, NULL, 2.5D) AS congestion_surcharge",
+    "IF(l_partkey % 9 = 0, NULL, CAST(l_suppkey % 2 AS DOUBLE)) AS airport_fee",
+    "l_partkey % 265 + 1 AS pulocationid",
+    "l_suppkey % 265 + 1 AS dolocationid",
+    "l_quantity * 2.1D AS trip_distance",
+    f"{_FARE} AS fare_amount",
+    f"{_TIP} AS tip_amount",
+    f"{_TOLLS} AS tolls_amount",
+    "0.5D AS mta_tax",
+    "1.0D AS improvement_surcharge",
+    "CAST(l_linenumber % 3 AS DOUBLE) AS extra",
+    # The clock never passes midnight, so the order date tells the month of the pickup.
+    f"left(CAST(CAST(o_orderdate AS DATE) AS STRING), 7) AS {MONTH}",
+    f"{_FARE} + {_TIP} + {_TOLLS} - 10.0D AS total_amount",
+]
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -41,30 +65,4 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     joined = lines.join(
         orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    part, supplier, line = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_linenumber")
-    clock = F.col("l_orderkey") * 7919 % 86400
-    fare = F.col("l_extendedprice") / 200
-    flag = F.when(F.col("l_linestatus") == "F", F.lit("Y")).otherwise(F.lit("N"))
-    shaped = joined.select(
-        *TRIP_KEYS,
-        _later(clock, "o_orderdate").alias(PICKUP),
-        _later(clock + part * 37 % 12000 - 300, "o_orderdate").alias(DROPOFF),
-        (supplier % 2 + 1).alias("vendorid"),
-        (supplier % 8).alias("payment_type"),
-        _unless(part % 10 == 0, line.cast("long")).alias("passenger_count"),
-        _unless(part % 11 == 0, (line % 6 + 1).cast("long")).alias("ratecodeid"),
-        _unless(part % 13 == 0, flag).alias("store_and_fwd_flag"),
-        _unless(part % 7 == 0, F.lit(2.5)).alias("congestion_surcharge"),
-        _unless(part % 9 == 0, (supplier % 2).cast("double")).alias("airport_fee"),
-        (part % 265 + 1).alias("pulocationid"),
-        (supplier % 265 + 1).alias("dolocationid"),
-        (F.col("l_quantity") * F.lit(2.1)).alias("trip_distance"),
-        fare.alias("fare_amount"),
-        (fare * (F.col("l_discount") - F.lit(0.005)) * 3).alias("tip_amount"),
-        (F.col("l_tax") * 100).alias("tolls_amount"),
-        F.lit(0.5).alias("mta_tax"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        (line % 3).cast("double").alias("extra"),
-    )
-    total = F.col("fare_amount") + F.col("tip_amount") + F.col("tolls_amount") - F.lit(10.0)
-    return shaped.withColumns({MONTH: F.date_format(PICKUP, "yyyy-MM"), "total_amount": total})
+    return joined.selectExpr(*_TRIP)

@@ -531,13 +531,13 @@ def _workspace(spark: SparkSession, folder: str) -> _Workspace:
 
 @query
 def string_index_levels(spark, folder):
-    inputs = features.complete_inputs(_clean(spark, folder))
+    inputs = features.complete_inputs(_workspace(spark, folder).inputs)
     return features.index_levels(spark, features.feature_stages().fit(inputs))
 
 
 @query
 def feature_scaling(spark, folder):
-    inputs = features.complete_inputs(_clean(spark, folder))
+    inputs = features.complete_inputs(_workspace(spark, folder).inputs)
     stages = features.feature_stages().fit(inputs)
     found = features.scale_parameters(spark, stages, inputs)
     return found.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 from pathlib import Path
 
@@ -64,3 +66,11 @@ def differences(df, db: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     if unequal:
         wrong.append(f"{len(unequal)} of {len(left)} rows differ, first {names}: {unequal[0]}")
     return wrong
+
+
+def plan_text(df) -> str:
+    """The physical plan with all details."""
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()
