@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 
 from meterline.operators.cleaning import without_leakage
 from meterline.operators.reports import distribution
-from meterline.operators.sampling import train_test
+from meterline.operators.sampling import train_flag
 from meterline.schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
-from meterline.sources.readers import load_features, read_if_complete
+from meterline.scratch import is_complete
+from meterline.sources.readers import load_features, read_splits
 from meterline.sources.writers import save_model, write_splits
 
 RAW_FEATURES = "features_raw"
@@ -114,7 +115,7 @@ def prepare(
     by: Column | None = None,
     reuse: bool = True,
 ) -> Prepared:
-    """Split, fit the stages, transform, write both parts and the stages below ``folder``.
+    """Split, fit the stages, transform, write the parts and the stages below ``folder``.
 
     The split is taken on the rows before any fitting, so with ``fit_on="train"`` the
     test rows leave no trace in the stages; ``"all"`` fits them on every row. What a
@@ -125,17 +126,14 @@ def prepare(
     """
     spark = clean.sparkSession
     inputs = complete_inputs(clean)
-    stages_path = f"{folder}/stages"
-    saved = read_if_complete(spark, f"{folder}/train", f"{folder}/test") if reuse else None
-    if saved is not None:
-        return Prepared(*saved, load_features(stages_path), distribution(inputs, LABEL))
-
-    train_rows, test_rows = train_test(inputs, keys=keys, by=by)
-    stages = feature_stages().fit(train_rows if fit_on == "train" else inputs)
-    save_model(stages, stages_path)
-    train, test = (
-        stages.transform(part).select(FEATURES, F.col(LABEL)) for part in (train_rows, test_rows)
-    )
-    paths = write_splits(train, test, folder)
-    train, test = (spark.read.parquet(p) for p in paths)
-    return Prepared(train, test, stages, distribution(inputs, LABEL))
+    stages_path, splits_path = f"{folder}/stages", f"{folder}/splits"
+    if not (reuse and is_complete(spark, splits_path)):
+        part = F.when(train_flag(inputs, keys=keys, by=by), "train").otherwise("test")
+        rows = inputs.withColumn("part", part)
+        stages = feature_stages().fit(
+            rows.filter(F.col("part") == "train") if fit_on == "train" else rows
+        )
+        save_model(stages, stages_path)
+        write_splits(stages.transform(rows).select(FEATURES, LABEL, "part"), splits_path)
+    train, test = read_splits(spark, splits_path)
+    return Prepared(train, test, load_features(stages_path), distribution(inputs, LABEL))

@@ -66,6 +66,18 @@ def split_by_hash(df: DataFrame, weights: Sequence[float], by: Column) -> list[D
     ]
 
 
+def train_flag(
+    df: DataFrame,
+    keys: Sequence[str] | None = None,
+    train: float = 0.8,
+    seed: int = 42,
+    by: Column | None = None,
+) -> Column:
+    """Whether a row belongs to the train part of :func:`train_test`."""
+    chosen = row_hash(list(keys or df.columns), seed) if by is None else by
+    return chosen < F.lit(int(train * HASH_SPACE))
+
+
 def random_split(df: DataFrame, weights: Sequence[float], seed: int = 42) -> list[DataFrame]:
     """Spark's own random split; its parts depend on how the rows are laid out."""
     return df.randomSplit(list(weights), seed=seed)
@@ -82,6 +94,5 @@ def train_test(
 
     Rows that agree in all of them land on the same side.
     """
-    chosen = row_hash(list(keys or df.columns), seed) if by is None else by
-    first, second = split_by_hash(df, [train, 1.0 - train], chosen)
-    return first, second
+    chosen = train_flag(df, keys, train, seed, by)
+    return df.filter(chosen), df.filter(~chosen)

@@ -38,7 +38,7 @@ RULES_METHOD = "rule_based_fallback"
 
 @dataclass(frozen=True)
 class RuleScore:
-    """Rule-based confidence and decision as columns.
+    """Rule-based confidence as a column.
 
     ``bonus_hours`` are the pickup hours that raise a card payer's score.
     """
@@ -63,18 +63,12 @@ class RuleScore:
             .otherwise(F.lit(OTHER_SCORE))
         )
 
-    def decision(self) -> Column:
-        return F.when(self.confidence() >= DECISION_AT, F.lit(1.0)).otherwise(F.lit(0.0))
-
 
 def score_by_rules(df: DataFrame, rule: RuleScore = RuleScore()) -> DataFrame:
     """Add ``prediction``, ``confidence`` and ``inference_method``."""
-    return df.withColumns(
-        {
-            "prediction": rule.decision(),
-            "confidence": rule.confidence(),
-            "inference_method": F.lit(RULES_METHOD),
-        }
+    decision = F.when(F.col("confidence") >= DECISION_AT, 1.0).otherwise(0.0)
+    return df.withColumn("confidence", rule.confidence()).withColumns(
+        {"prediction": decision, "inference_method": F.lit(RULES_METHOD)}
     )
 
 

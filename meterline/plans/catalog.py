@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterline import scratch
 from meterline.functions.hashing import portable_hash
-from meterline.functions.temporal import day_part, weekend_flag
+from meterline.functions.temporal import day_part, elapsed_seconds, weekend_flag
 from meterline.ml import features, models
 from meterline.operators import (
     cleaning,
@@ -27,10 +27,12 @@ from meterline.operators import (
 from meterline.plans import jobs
 from meterline.plans.bindings import ANY_PERIOD, ONE_YEAR, TRIP_KEYS, table, trips
 from meterline.schema import (
+    DROPOFF,
     FARE_TARGET,
     LABEL,
     MONTH,
     NULL_DEFAULTS,
+    PICKUP,
 )
 from meterline.sources import readers, writers
 
@@ -61,7 +63,8 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring requests with some optional fields left out: one per raw trip."""
-    wide = cleaning.add_features(trips(spark, folder))
+    minutes = elapsed_seconds(PICKUP, DROPOFF) / 60.0
+    wide = cleaning.add_features(trips(spark, folder)).withColumn("trip_duration_min", minutes)
     names = [name.split()[0] for name in readers.REQUEST_SCHEMA.split(", ")]
     return rules.with_request_defaults(wide.select(*TRIP_KEYS, *names))
 

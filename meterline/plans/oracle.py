@@ -182,6 +182,7 @@ _VIOLATIONS = ", ".join(
 _FROM_REQUESTS = f"""{_FROM_DERIVED},
 requests AS (
   SELECT * REPLACE (
+    secs / CAST(60 AS DOUBLE) AS trip_duration_min,
     coalesce(passenger_count, 1) AS passenger_count,
     coalesce(ratecodeid, 1) AS ratecodeid,
     coalesce(congestion_surcharge, CAST(2.5 AS DOUBLE)) AS congestion_surcharge)

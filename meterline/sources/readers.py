@@ -90,11 +90,11 @@ def read_partition(spark: SparkSession, path: str, month: str) -> DataFrame:
     return spark.read.option("basePath", path).parquet(f"{path}/{MONTH}={month}")
 
 
-def read_if_complete(spark: SparkSession, *paths: str) -> list[DataFrame] | None:
-    """The tables, if every one of them was written to its end; else None."""
-    if all(scratch.is_complete(spark, p) for p in paths):
-        return [spark.read.parquet(p) for p in paths]
-    return None
+def read_splits(spark: SparkSession, path: str, by: str = "part") -> tuple[DataFrame, DataFrame]:
+    """Train and test rows of a written split; each reads only its own folder."""
+    rows = spark.read.parquet(path)
+    train, test = (rows.filter(F.col(by) == part).drop(by) for part in ("train", "test"))
+    return train, test
 
 
 def requests_table(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:

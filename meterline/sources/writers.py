@@ -109,8 +109,10 @@ def write_predictions(scored: DataFrame, path: str, label: str = LABEL) -> str:
     return write_table(scored.select(label, "prediction", "confidence"), path)
 
 
-def write_splits(train: DataFrame, test: DataFrame, folder: str) -> tuple[str, str]:
-    return write_table(train, f"{folder}/train"), write_table(test, f"{folder}/test")
+def write_splits(rows: DataFrame, path: str, by: str = "part") -> str:
+    """All parts of a split in one pass and one commit, a folder per part."""
+    rows.write.mode("overwrite").partitionBy(by).parquet(path)
+    return path
 
 
 def save_model(model: MLWritable, path: str) -> str:
