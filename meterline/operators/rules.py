@@ -18,14 +18,21 @@ from meterline.schema import DROPOFF, PICKUP, REQUEST_DEFAULTS, RequestLimits, T
 
 @dataclass(frozen=True)
 class Rule:
-    """A condition a row has to meet. A condition that is null counts as not met."""
+    """A condition a row has to meet. A condition that is null counts as not met.
+
+    A rule with others in ``given`` is only judged on rows that meet those.
+    """
 
     name: str
     holds: Column
+    given: tuple[Rule, ...] = ()
 
     @property
     def fails(self) -> Column:
-        return ~F.coalesce(self.holds, F.lit(False))
+        broken = ~F.coalesce(self.holds, F.lit(False))
+        for other in self.given:
+            broken = F.coalesce(other.holds, F.lit(False)) & broken
+        return broken
 
 
 # --- The trip rules ----------------------------------------------------------
@@ -97,7 +104,7 @@ def request_rules(limits: RequestLimits = RequestLimits()) -> list[Rule]:
         duration,
         Rule("fare_amount", F.col("fare_amount").between(*limits.fare)),
         Rule("congestion_surcharge", F.col("congestion_surcharge") >= limits.congestion_least),
-        Rule("average_speed", distance.fails | duration.fails | (speed <= limits.top_speed_mph)),
+        Rule("average_speed", speed <= limits.top_speed_mph, given=(distance, duration)),
     ]
 
 
@@ -105,7 +112,14 @@ def request_rules(limits: RequestLimits = RequestLimits()) -> list[Rule]:
 
 
 def keep_valid(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Rows that meet every rule. The plain conjunction reaches the Parquet scan."""
+    """Rows that meet every rule. The plain conjunction reaches the Parquet scan.
+
+    Rules that others are ``given`` have to be in the list, so nothing else needs a look.
+    """
+    names = {r.name for r in rules}
+    missing = sorted({g.name for r in rules for g in r.given} - names)
+    if missing:
+        raise ValueError(f"rules that others depend on are missing: {', '.join(missing)}")
     return df.filter(reduce(and_, [r.holds for r in rules]))
 
 
