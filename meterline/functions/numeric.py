@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from decimal import Decimal
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,37 +41,39 @@ def mean_of(name: str, exact: bool = True) -> Column:
     return exact_avg(name) if exact else F.avg(name)
 
 
-def round_half_up(value: Column, digits: int) -> Column:
-    """Spark's ``round``, of which only values close to a tie pay the price.
+def round_half_up(value: str, digits: int) -> Column:
+    """Spark's ``round`` of an SQL expression, of which only values near a tie pay the price.
 
     ``round`` goes through the decimal text of every double. Away from ties the nearest
-    multiple is the same number, and one rounding instruction finds it.
+    multiple is the same number, and one rounding instruction finds it. Adding zero turns
+    -0.0 into 0.0.
     """
-    scaled = value * float(10**digits)
-    nearest = F.rint(scaled)
-    clear = (F.abs(scaled - nearest) < 0.499999) & (F.abs(scaled) < 1e9)
-    # Adding zero turns -0.0 into 0.0.
-    return F.when(clear, nearest / float(10**digits) + 0.0).otherwise(F.round(value, digits))
+    scale = f"1e{digits}D"
+    scaled = f"(({value}) * {scale})"
+    return F.expr(
+        f"CASE WHEN abs({scaled} - rint({scaled})) < 0.499999D AND abs({scaled}) < 1e9D"
+        f" THEN rint({scaled}) / {scale} + 0D ELSE round({value}, {digits}) END"
+    )
 
 
-def rounds_into(value: Column, low: float | None, high: float | None, digits: int) -> Column:
-    """Whether the rounded value lies within [low, high], without rounding it.
+def rounds_into(value: str, low: float | None, high: float | None, digits: int) -> Column:
+    """Whether the rounded value of an SQL expression lies in [low, high], without rounding.
 
     For bounds that are not negative: half a step outside them is where rounding flips.
     """
     half = Decimal(5).scaleb(-digits - 1)
     terms = []
     if low is not None:
-        terms.append(value >= float(Decimal(str(low)) - half))
+        terms.append(f"({value}) >= {Decimal(str(low)) - half}D")
     if high is not None:
-        terms.append(value < float(Decimal(str(high)) + half))
-    return reduce(and_, terms)
+        terms.append(f"({value}) < {Decimal(str(high)) + half}D")
+    return F.expr(" AND ".join(terms))
 
 
-def ratio(part: Column | str, whole: Column | str, digits: int | None = None) -> Column:
-    """``part / whole``, null where ``whole`` is zero, rounded half up if asked."""
-    quotient = F.try_divide(_as_column(part), _as_column(whole))
-    return quotient if digits is None else round_half_up(quotient, digits)
+def ratio(part: str, whole: str, digits: int | None = None) -> Column:
+    """``part / whole`` of two SQL expressions; null where ``whole`` is zero."""
+    quotient = f"try_divide({part}, {whole})"
+    return F.expr(quotient) if digits is None else round_half_up(quotient, digits)
 
 
 def percent(part: Column | str, whole: Column | str, digits: int = 1) -> Column:

@@ -17,12 +17,12 @@ def speed_mph(
     digits: int | None = 2,
 ) -> Column:
     """Average speed; null for a trip that takes no time."""
-    return ratio(distance, elapsed_seconds(start, end) / 3600.0, digits)
+    return ratio(distance, f"({elapsed_seconds(start, end)}) / 3600D", digits)
 
 
 def speed_from_minutes(distance: str, minutes: str) -> Column:
     """Average speed of a request, which gives its duration in minutes. Not rounded."""
-    return ratio(distance, F.col(minutes) / 60.0)
+    return ratio(distance, f"{minutes} / 60D")
 
 
 def tip_share(tip: str = "tip_amount", fare: str = "fare_amount") -> Column:

@@ -42,12 +42,12 @@ def fill_defaults(df: DataFrame, defaults: dict | None = None) -> DataFrame:
 
 def add_features(df: DataFrame) -> DataFrame:
     """Duration, clock, place, speed and tip columns, and the label."""
-    hour, weekday = F.hour(PICKUP), F.dayofweek(PICKUP)
+    hour, weekday = f"hour({PICKUP})", f"dayofweek({PICKUP})"
     return df.withColumns(
         {
             "trip_duration_min": elapsed_minutes(PICKUP, DROPOFF),
-            "pickup_hour": hour,
-            "pickup_dayofweek": weekday,
+            "pickup_hour": F.expr(hour),
+            "pickup_dayofweek": F.expr(weekday),
             "is_weekend": weekend_flag(weekday),
             "time_of_day": day_part(hour),
             "avg_speed_mph": speed_mph(),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterline.functions.numeric import rounds_into
 from meterline.functions.temporal import elapsed_seconds, within_days
-from meterline.functions.trip import speed_from_minutes, speed_mph
+from meterline.functions.trip import speed_from_minutes
 from meterline.schema import DROPOFF, PICKUP, REQUEST_DEFAULTS, RequestLimits, TripLimits
 
 
@@ -55,8 +55,8 @@ def trip_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
 
 def physics_rules(limits: TripLimits = TripLimits()) -> list[Rule]:
     """Rules on duration and speed, each to two decimals, from the raw columns."""
-    minutes = elapsed_seconds(PICKUP, DROPOFF) / 60.0
-    speed = speed_mph(digits=None)
+    seconds = elapsed_seconds(PICKUP, DROPOFF)
+    minutes, speed = f"({seconds}) / 60D", f"try_divide(trip_distance, ({seconds}) / 3600D)"
     return [
         Rule("duration_in_range", rounds_into(minutes, *limits.duration_min, digits=2)),
         Rule("speed_possible", rounds_into(speed, None, limits.top_speed_mph, digits=2)),

@@ -81,9 +81,9 @@ def request_features(requests: DataFrame) -> DataFrame:
     return requests.withColumns(
         {
             **filled,
-            "is_weekend": weekend_flag(F.col("pickup_dayofweek")),
+            "is_weekend": weekend_flag("pickup_dayofweek"),
             "avg_speed_mph": speed_from_minutes("trip_distance", "trip_duration_min"),
-            "time_of_day": day_part(F.col("pickup_hour")),
+            "time_of_day": day_part("pickup_hour"),
         }
     )
 

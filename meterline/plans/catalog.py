@@ -63,7 +63,7 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
     """Scoring requests with some optional fields left out: one per raw trip."""
-    minutes = elapsed_seconds(PICKUP, DROPOFF) / 60.0
+    minutes = F.expr(f"({elapsed_seconds(PICKUP, DROPOFF)}) / 60D")
     wide = cleaning.add_features(trips(spark, folder)).withColumn("trip_duration_min", minutes)
     names = [name.split()[0] for name in readers.REQUEST_SCHEMA.split(", ")]
     return rules.with_request_defaults(wide.select(*TRIP_KEYS, *names))
@@ -309,7 +309,7 @@ def events_weekend_share(spark, folder):
     events = table(spark, folder, "events")
     marked = events.select(
         F.concat_ws(
-            "/", weekend_flag(F.dayofweek("ts")).cast("string"), day_part(F.hour("ts"))
+            "/", weekend_flag("dayofweek(ts)").cast("string"), day_part("hour(ts)")
         ).alias("slot")
     )
     return reports.distribution(marked, "slot")

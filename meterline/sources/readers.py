@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
@@ -39,7 +40,9 @@ def read_months(
     """
     if not paths:
         raise ValueError("no files to read")
-    schemas = {path: spark.read.parquet(path).schema for path in paths}
+    with ThreadPoolExecutor(max_workers=16) as readers:
+        found = readers.map(lambda path: spark.read.parquet(path).schema, paths)
+        schemas = dict(zip(paths, found))
     report = contract.common_columns(
         {path: contract.lower_names(schema.names) for path, schema in schemas.items()}
     )
