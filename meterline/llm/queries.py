@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import exact_dedup
+from meterline.llm import exact_dedup, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,9 +29,14 @@ FROM (
 """
 
 
+def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, its fingerprint and its component."""
+    return simhash.components(_table(spark, folder, "documents"))
+
+
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op3_exact_dedup,)
+    found = (op3_exact_dedup, op6_simhash)
     return {f.__name__: f for f in found}
 
 
