@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import exact_dedup, simhash
+from meterline.llm import exact_dedup, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,26 @@ FROM (
 """
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Per page, its record as read back from the archives."""
+    back = warc.round_trip(_table(spark, folder, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP4_SQL = """
+SELECT page_id, payload_bytes,
+       translate(to_base(('0x' || sha[1:10])::BIGINT, 32, 8) || to_base(('0x' || sha[11:20])::BIGINT, 32, 8)
+                 || to_base(('0x' || sha[21:30])::BIGINT, 32, 8) || to_base(('0x' || sha[31:40])::BIGINT, 32, 8),
+                 '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM (
+  SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha1(body) AS sha,
+         min(page_id) OVER (PARTITION BY body) AS first
+  FROM (SELECT page_id, coalesce(html, '') AS body FROM pages))
+"""
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, its fingerprint and its component."""
     return simhash.components(_table(spark, folder, "documents"))
@@ -36,10 +56,10 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op3_exact_dedup, op6_simhash)
+    found = (op3_exact_dedup, op4_warc, op6_simhash)
     return {f.__name__: f for f in found}
 
 
 def statements() -> dict[str, str]:
     """SQL with the same rows, where SQL can express the query."""
-    return {"op3_exact_dedup": OP3_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL}
