@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import exact_dedup, simhash, warc
+from meterline.llm import exact_dedup, secrets, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, the secrets in it."""
+    return secrets.report(secrets.scan(_table(spark, folder, "documents")))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, the copy that stays."""
     return exact_dedup.mark_copies(_table(spark, folder, "documents"))
@@ -56,7 +61,7 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op3_exact_dedup, op4_warc, op6_simhash)
+    found = (op2_secrets, op3_exact_dedup, op4_warc, op6_simhash)
     return {f.__name__: f for f in found}
 
 
