@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterline.llm import exact_dedup, mixing, pii, secrets, simhash, warc
+from meterline.llm import exact_dedup, mixing, pii, secrets, simhash, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +59,11 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.components(_table(spark, folder, "documents"))
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, its token ids as read back from the files."""
+    return token_files.round_trip(_table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, how many of its words the mix takes."""
     found = mixing.mix(_table(spark, folder, "documents"))
@@ -72,7 +77,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op9_mixing, op10_pii)
+    found = (op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op8_token_files, op9_mixing, op10_pii)
     return {f.__name__: f for f in found}
 
 
