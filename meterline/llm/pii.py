@@ -13,7 +13,9 @@ graph of patterns and instances is scored over all documents:
   its patterns, damped.
 
 After ``ROUNDS`` rounds, the tokens that a confident pattern with enough distinct
-instances introduces are reported as kind ``found`` if no plain match covers them.
+instances introduces are reported as kind ``found`` if no plain match covers them and none that
+failed its check does: a number that a card pattern matches but whose digits do not add up
+is known not to be one, whatever stands before it.
 
 Both steps of a round group by pattern or by instance, combined inside tasks first, and
 work on edges that carry counts, so a pattern as common as any costs one row per instance.
@@ -72,7 +74,7 @@ def _digits(value: Column) -> Column:
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, row_id (of id and text), the places of the four kinds, and
-    tokens, an array of (start, end, instance, pattern, seed)."""
+    tokens, an array of (start, end, instance, pattern, seed, refused)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("row_id", F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), "text")))
@@ -80,6 +82,7 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     gate = {"email": F.col("text").contains("@"), "phone": F.col("text").contains("+")}
     gate |= {k: F.col("marked") for k in ("ip", "card", "token")}
     found = with_matches(rows, "text", BASE | {"token": TOKEN}, gate)
+    found = found.withColumn("tried", F.concat(*[tagged(k, i, F.col(k)) for i, k in enumerate(BASE)]))
     found = found.withColumns(
         {
             "ip": F.filter("ip", lambda s: s["value"].rlike(IP)),
@@ -88,22 +91,24 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         }
     )
     found = found.withColumns({k: tagged(k, i, F.col(k)) for i, k in enumerate(BASE)}).withColumn("base", F.concat(*BASE))
-    return found.select("doc_id", "row_id", *BASE, _tokens(F.col("token"), F.col("base")).alias("tokens"))
+    return found.select("doc_id", "row_id", *BASE, _tokens(F.col("token"), F.col("base"), F.col("tried")).alias("tokens"))
 
 
-def _tokens(tokens: Column, base: Column) -> Column:
-    def one(t: Column, base: Column) -> Column:
+def _tokens(tokens: Column, base: Column, tried: Column) -> Column:
+    def one(t: Column, all_spans: Column) -> Column:
         value = F.regexp_replace(t["value"], r"[.:!?]+$", "")
         left = F.lower(F.regexp_extract(t["left"], LEFT_WORDS, 1))
         end = t["start"] + F.length(value)
-        seed = F.exists(base, lambda b: (b["start"] < end) & (t["start"] < b["end"]))
+        seed, refused = (
+            F.exists(all_spans[k], lambda b: (b["start"] < end) & (t["start"] < b["end"])) for k in ("base", "tried")
+        )
         return F.struct(
             t["start"].alias("start"), end.alias("end"), value.alias("instance"),
-            F.regexp_replace(left, r"\s+", " ").alias("pattern"), seed.alias("seed"),
+            F.regexp_replace(left, r"\s+", " ").alias("pattern"), seed.alias("seed"), (refused & ~seed).alias("refused"),
         )
 
     told = F.filter(tokens, lambda t: F.length(t["value"]) >= LEAST_LENGTH)
-    made = let(base, lambda b: F.transform(told, lambda t: one(t, b)))
+    made = let(F.struct(base.alias("base"), tried.alias("tried")), lambda b: F.transform(told, lambda t: one(t, b)))
     return F.filter(made, lambda t: (F.length(t["instance"]) >= LEAST_LENGTH) & (F.length(t["pattern"]) > 0))
 
 
@@ -146,7 +151,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     path = fresh_path(spark, "mentions")
     mentions(docs, id_col, text_col).write.parquet(path)
     found = spark.read.parquet(path)
-    unseen = found.select("row_id", F.explode("tokens").alias("t")).select("row_id", "t.*").filter("NOT seed").distinct()
+    unseen = found.select("row_id", F.explode("tokens").alias("t")).select("row_id", "t.*").filter("NOT seed AND NOT refused").distinct()
     more = (
         unseen.join(confident_patterns(found), "pattern")
         .groupBy("row_id")
