@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterline.llm import exact_dedup, mixing, pii, secrets, simhash, token_files, warc
+from meterline.llm import decontaminate, exact_dedup, mixing, pii, secrets, simhash, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where it lies.
+
+    On a cluster it is installed or sent along with the job, and the path means nothing.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
+
+
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -59,6 +76,41 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.components(_table(spark, folder, "documents"))
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, how much of it is benchmark text."""
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+OP7_SQL = """
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark),
+phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i:i + 12], ' ') AS phrase
+  FROM items, unnest(range(1, greatest(2, len(w) - 11))) AS u(i) WHERE len(w) > 0),
+lengths AS (SELECT DISTINCT n FROM phrases),
+grams AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS phrase
+  FROM docs, lengths, unnest(range(1, len(w) - n + 2)) AS u(i)),
+hits AS (SELECT r, g.n, i, item_id FROM grams g JOIN phrases p ON g.n = p.n AND g.phrase = p.phrase),
+words AS (SELECT r, count(DISTINCT j) AS n_hit FROM hits, unnest(range(i, i + n)) AS u(j) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hits) GROUP BY r)
+SELECT doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, its token ids as read back from the files."""
     return token_files.round_trip(_table(spark, folder, "documents"))
@@ -77,10 +129,10 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op8_token_files, op9_mixing, op10_pii)
+    found = (op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing, op10_pii)
     return {f.__name__: f for f in found}
 
 
 def statements() -> dict[str, str]:
     """SQL with the same rows, where SQL can express the query."""
-    return {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op4_warc": OP4_SQL, "op7_decontaminate": OP7_SQL}
