@@ -2,11 +2,11 @@
 
 Archives are text files whose line separator is the blank line pair that ends a record,
 so Spark's own committer writes them and any file system it knows can hold them. Reading
-splits a file anywhere: the record magic is the line separator, so every task gets the
+splits plain files anywhere: the record magic is the line separator, so every task gets the
 pieces between two magics of its splits, and each piece is a *candidate* record. From the
 lengths in its head a task works out where the next record would start. Magic inside a
 payload gives candidates as well. Which ones are records is settled by pointer jumping:
-from offset 0 of each file the reached set doubles with every round, and only candidates
+from the start of each file the reached set doubles with every round, and only candidates
 on that chain are records. A payload that holds the magic is put together again from its
 pieces.
 
@@ -38,6 +38,7 @@ DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 BIN = 1 << 20
+FILE_RECORDS = 50_000
 
 RECORDS = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -80,9 +81,13 @@ def with_first(pages: DataFrame, id_col: str, text_col: str, url_col: str, least
 
 
 def write_archives(
-    pages: DataFrame, path: str, id_col: str = "page_id", text_col: str = "html", url_col: str = "url", least_bytes: int = 0
+    pages: DataFrame, path: str, id_col: str = "page_id", text_col: str = "html", url_col: str = "url", least_bytes: int = 0, codec: str = "gzip"
 ) -> None:
-    """One record per page; pages whose payload an earlier id has become revisits of it."""
+    """One record per page; pages whose payload an earlier id has become revisits of it.
+
+    Files hold at most ``FILE_RECORDS`` records. Compressed ones are read by one task each,
+    plain ones (codec ``none``) are split anywhere.
+    """
     rows = with_first(pages, id_col, text_col, url_col, least_bytes)
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("none")), F.lit(">"))
@@ -102,7 +107,7 @@ def write_archives(
         (F.octet_length(http) + F.when(again, F.lit(0)).otherwise(F.col("bytes"))).cast("string"),
     )
     record = F.concat(F.lit(MAGIC), head, F.lit(END), http, F.when(again, F.lit("")).otherwise(F.col("body")))
-    rows.select(record.alias("record")).write.option("lineSep", END).text(path)
+    rows.select(record.alias("record")).write.options(lineSep=END, compression=codec, maxRecordsPerFile=FILE_RECORDS).text(path)
 
 
 def _page(name: str | None) -> int | None:
@@ -176,24 +181,38 @@ def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _reassembled(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        rows = [(file, at, *parse(text)[2:]) for file, at, text in zip(frame["file"], frame["at"], frame["text"])]
-        flat = [(file, at, *fields, stated) for file, at, fields, stated in rows]
-        out = pd.DataFrame(flat, columns=["file", "at", *[c.split()[0] for c in RECORDS.split(", ")], "stated_digest"])
+        rows = [(at, *parse(text)[2:]) for at, text in zip(frame["at"], frame["text"])]
+        flat = [(at, *fields, stated) for at, fields, stated in rows]
+        out = pd.DataFrame(flat, columns=["at", *[c.split()[0] for c in RECORDS.split(", ")], "stated_digest"])
         for c in ("page_id", "payload_bytes", "refers_to"):
             out[c] = out[c].astype("Int64")
         yield out
 
 
-def _placed(spark: SparkSession, path: str, rows: DataFrame, starts: DataFrame) -> DataFrame:
-    """Rows of (file, block, rel) with ``at``, the offset of their candidate in the file."""
-    return rows.join(starts, ["file", "block"]).withColumn("at", F.col("base") + F.col("rel") - len(MAGIC))
+def _split_starts(pieces: DataFrame) -> DataFrame:
+    """Per split (file, block): base, where its first piece starts, and stop, where its file
+    ends. Files lie one behind the other in one address space, in order of their names.
+    One row per split is what is ordered in a single task."""
+    sizes = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("n"))
+    before = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # The last piece of a file has no magic behind it.
+    stop = F.max(F.col("base") + F.col("n")).over(Window.partitionBy("file")) - len(MAGIC)
+    return placed.select("file", "block", "base", stop.alias("stop"))
+
+
+def _placed(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """Rows of (file, block, rel) with ``at``, the address of their candidate's magic."""
+    placed = rows.join(starts, ["file", "block"]).withColumn("at", F.col("base") + F.col("rel") - len(MAGIC))
+    first = (F.col("rel") == 0) & (F.col("block") == 0)  # stands before any magic of its file
+    return placed.filter(~first)
 
 
 def reached(links: DataFrame) -> DataFrame:
-    """(file, at) of the candidates on the chain from offset 0; links are (file, at, to).
+    """(at) of the candidates on a chain from a row marked first; links are (at, to, first).
 
     Every round joins the reached set with jumps of 1, 2, 4, ... records, and the jumps
-    with themselves. Tables of three numbers a candidate, written between rounds.
+    with themselves. Tables of two numbers a candidate, written between rounds.
     """
     spark = links.sparkSession
 
@@ -202,14 +221,16 @@ def reached(links: DataFrame) -> DataFrame:
         frame.write.parquet(path)
         return spark.read.parquet(path)
 
-    jumps = kept(links, "jumps")
-    on_chain = jumps.filter("at = 0").select("file", "at")
+    links = kept(links, "links")
+    found = links.filter("first").select("at")
+    jumps = links.select("at", "to")
     while not jumps.isEmpty():
-        ahead = on_chain.join(jumps, ["file", "at"]).select("file", F.col("to").alias("at"))
-        on_chain = kept(on_chain.unionAll(ahead), "reached")
-        later = jumps.select("file", F.col("at").alias("to"), F.col("to").alias("beyond"))
-        jumps = kept(jumps.join(later, ["file", "to"]).select("file", "at", F.col("beyond").alias("to")), "jumps")
-    return on_chain
+        # One table a round: what is reached by a jump, and all reached so far stays in the tables before.
+        fresh = kept(found.join(jumps, "at").select(F.col("to").alias("at")), "reached")
+        found = found.unionAll(fresh)
+        later = jumps.select(F.col("at").alias("to"), F.col("to").alias("beyond"))
+        jumps = kept(jumps.join(later, "to").select("at", F.col("beyond").alias("to")), "jumps")
+    return found
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
@@ -218,43 +239,43 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     where = fresh_path(spark, "candidates")
     _raw_pieces(spark, path).mapInPandas(_candidates, PIECES).write.parquet(where)
     pieces = spark.read.parquet(where)
-    order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = pieces.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("n"))
-    starts = sizes.select("file", "block", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
+    starts = _split_starts(pieces)
 
-    candidates = _placed(spark, path, pieces, starts).filter("span IS NOT NULL AND at >= 0")
-    links = candidates.select("file", "at", (F.col("at") + F.col("span")).alias("to"))
-    # Targets that are no candidate end a chain: the file's end, or a broken record.
-    records = candidates.join(reached(links), ["file", "at"])
+    candidates = _placed(pieces, starts).filter("span IS NOT NULL")
+    # A file begins with the magic, so the first candidate of its first split is its first record.
+    first = (F.col("block") == 0) & (F.col("rel") == len(MAGIC))
+    links = candidates.filter(F.col("at") + F.col("span") <= F.col("stop")).select(
+        "at", (F.col("at") + F.col("span")).alias("to"), first.alias("first")
+    )
+    chain = reached(links)
     fields = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "stated_digest"]
     where = fresh_path(spark, "records")
-    records.select("file", "at", "span", "whole", *fields).write.parquet(where)
+    candidates.join(chain, "at").select("at", "span", "whole", *fields).write.parquet(where)
     records = spark.read.parquet(where)
     out = records.filter("whole").select(*fields)
 
-    cut = records.filter("NOT whole").select("file", "at", "span")
+    cut = records.filter("NOT whole").select("at", "span")
     if not cut.isEmpty():
-        texts = _placed(
-            spark, path, _raw_pieces(spark, path).mapInPandas(_texts, "value string, file string, block long, rel long"), starts
-        ).select("file", F.col("at").alias("piece"), "value", F.floor(F.col("at") / BIN).alias("bin"))
+        raw = _raw_pieces(spark, path).mapInPandas(_texts, "value string, file string, block long, rel long")
+        texts = _placed(raw, starts).select(F.col("at").alias("piece"), "value", F.floor(F.col("at") / BIN).alias("bin"))
         bins = F.sequence(F.floor(F.col("at") / BIN), F.floor((F.col("at") + F.col("span")) / BIN))
-        ranges = cut.withColumn("bin", F.explode(bins))
         inside = (F.col("piece") >= F.col("at")) & (F.col("piece") < F.col("at") + F.col("span"))
         joined = (
-            ranges.join(texts, ["file", "bin"])
+            cut.withColumn("bin", F.explode(bins))
+            .join(texts, "bin")
             .filter(inside)
-            .groupBy("file", "at")
+            .groupBy("at")
             .agg(F.array_sort(F.collect_list(F.struct("piece", "value"))).alias("parts"))
-            .select("file", "at", F.array_join(F.col("parts.value"), MAGIC).alias("text"))
+            .select("at", F.array_join(F.col("parts.value"), MAGIC).alias("text"))
         )
-        again = joined.mapInPandas(_reassembled, f"file string, at long, {RECORDS}, stated_digest string")
+        again = joined.mapInPandas(_reassembled, f"at long, {RECORDS}, stated_digest string")
         out = out.unionByName(again.select(*fields))
     return out.select(*fields[:5], F.col("stated_digest").eqNullSafe(F.col("payload_digest")).alias("digest_holds"))
 
 
-def round_trip(pages: DataFrame, id_col: str = "page_id", text_col: str = "html", url_col: str = "url", least_bytes: int = 0) -> DataFrame:
+def round_trip(pages: DataFrame, id_col: str = "page_id", text_col: str = "html", url_col: str = "url", least_bytes: int = 0, codec: str = "gzip") -> DataFrame:
     """Write the pages to fresh archives in the shared folder and read them back."""
     spark = pages.sparkSession
     path = fresh_path(spark, "archives")
-    write_archives(pages, path, id_col, text_col, url_col, least_bytes)
+    write_archives(pages, path, id_col, text_col, url_col, least_bytes, codec)
     return read_archives(spark, path)
