@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, exact_dedup, mixing, pii, secrets, simhash, token_files, warc
+from meterline.llm import decontaminate, exact_dedup, mixing, pii, secrets, simhash, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, how likely it is labelled toxic."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    found = toxicity.classify(docs, labels)
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op2_secrets(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, the secrets in it."""
     return secrets.report(secrets.scan(_table(spark, folder, "documents")))
@@ -129,7 +136,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing, op10_pii)
+    found = (op1_toxicity, op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing, op10_pii)
     return {f.__name__: f for f in found}
 
 
