@@ -12,8 +12,7 @@ The toxic dictionary is trained on what the ordinary sample lacks and several to
 share: copies count once, by their first words, so a group of copies teaches nothing.
 
 Fitting uses a bounded sample of the labelled rows: at most ``SAMPLE`` texts a
-class in each of two halves, each text of at most ``LONGEST`` bytes, chosen by a hash of the
-id. Scoring covers every text and its whole length.
+class, each of at most ``LONGEST`` bytes, chosen by a hash of the id. Scoring covers every text and its whole length.
 
 Defined cases: a null or empty text has no hits and the score of such texts; labels that
 are null, or name no document, are not used; an id labelled both ways counts as toxic;
@@ -34,7 +33,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE = 1500
+SAMPLE = 2500
+FOLDS = 4
 LONGEST = 1 << 16
 TOXIC_BYTES = 2048
 ORDINARY_BYTES = 1 << 16
@@ -150,19 +150,19 @@ def _contents(rows: list[tuple[str, int]]) -> tuple[bytes, bytes] | None:
     return _dictionary(marked, TOXIC_BYTES), _dictionary(plain, ORDINARY_BYTES)
 
 
-def fit(first: list[tuple[str, int]], second: list[tuple[str, int]]) -> Model | None:
-    """A model from two lists of texts with labels.
+def fit(rows: list[tuple[str, int]], folds: int = FOLDS) -> Model | None:
+    """A model from texts with labels.
 
-    Thresholds and scores come from texts measured with the dictionaries of the other list,
-    the dictionaries of the model from both.
+    Thresholds and scores come from texts measured with dictionaries of the other folds,
+    the dictionaries of the model from all.
     """
-    contents = _contents(first + second)
+    contents = _contents(rows)
     if contents is None:
         return None
     seen = []
-    for learn, tune in ((first, second), (second, first)):
-        meter = Meter(*(_contents(learn) or contents))
-        seen += [(meter.profile(t), y) for t, y in tune]
+    for k in range(folds):
+        meter = Meter(*(_contents([r for i, r in enumerate(rows) if i % folds != k]) or contents))
+        seen += [(meter.profile(t), y) for t, y in rows[k::folds]]
     positives = max(1, sum(y for _, y in seen))
     negatives = max(1, len(seen) - positives)
 
@@ -190,8 +190,8 @@ def _meter(toxic: bytes, ordinary: bytes) -> Meter:
     return Meter(toxic, ordinary)
 
 
-def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str, size: int) -> tuple[list, list]:
-    """Two lists of (text, label) for :func:`fit`, chosen by a hash of the id."""
+def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text_col: str, label_col: str, size: int) -> list[tuple[str, int]]:
+    """(text, label) for :func:`fit`, at most ``size`` of each label, chosen by a hash of the id."""
     known = (
         labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y"))
         .filter("id IS NOT NULL AND y IS NOT NULL")
@@ -200,15 +200,12 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text
         .withColumn("turn", F.xxhash64("id"))
     )
     known = known.filter(usable)
-    drawn = known.filter("y = 1").orderBy("turn").limit(2 * size).unionAll(known.filter("y = 0").orderBy("turn").limit(2 * size))
+    drawn = known.filter("y = 1").orderBy("turn").limit(size).unionAll(known.filter("y = 0").orderBy("turn").limit(size))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= LONGEST)
-    # At most 4 * size rows of two numbers are broadcast.
+    # At most 2 * size rows of two numbers are broadcast.
     rows = texts.join(F.broadcast(drawn), "id").select("id", "y", "turn", "text").collect()
     rows.sort(key=lambda r: (r["turn"], r["id"], r["text"]))
-    halves: tuple[list, list] = ([], [])
-    for i, r in enumerate(rows):
-        halves[i % 2].append((r["text"], r["y"]))
-    return halves
+    return [(r["text"], r["y"]) for r in rows]
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,14 +233,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", size: int = SAMPLE) -> DataFrame:
     """Fit on labelled rows that are not held out, and score every document."""
-    learn, tune = sample(docs, labels, ~held_out("id"), id_col, text_col, label_col, size)
-    return score(docs, fit(learn, tune), id_col, text_col)
+    rows = sample(docs, labels, ~held_out("id"), id_col, text_col, label_col, size)
+    return score(docs, fit(rows), id_col, text_col)
 
 
 def keep_mild(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """The documents that are not predicted toxic, with their own columns; rows that repeat an id are judged one by one."""
-    learn, tune = sample(docs, labels, ~held_out("id"), id_col, text_col, label_col, SAMPLE)
-    model = fit(learn, tune)
+    model = fit(sample(docs, labels, ~held_out("id"), id_col, text_col, label_col, SAMPLE))
     if model is None:
         return docs
     bad = {n for n, s in enumerate(model.scores) if s >= CUT}
