@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, exact_dedup, mixing, pii, secrets, simhash, token_files, toxicity, warc
+from meterline.llm import decontaminate, exact_dedup, maxent, mixing, pii, secrets, simhash, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,11 @@ FROM (
 """
 
 
+def op5_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, its log-probability under two models of the corpus."""
+    return maxent.score(_table(spark, folder, "documents"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, its fingerprint and its component."""
     return simhash.components(_table(spark, folder, "documents"))
@@ -136,7 +141,7 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op1_toxicity, op2_secrets, op3_exact_dedup, op4_warc, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing, op10_pii)
+    found = (op1_toxicity, op2_secrets, op3_exact_dedup, op4_warc, op5_maxent, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing, op10_pii)
     return {f.__name__: f for f in found}
 
 
