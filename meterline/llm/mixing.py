@@ -169,14 +169,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix as documents: each row as often as it is taken, with its own columns.
 
-    Rows that repeat an id are told apart by nothing, so they share their copies out evenly
-    by rank, and the total of the id is kept.
+    Nothing tells rows that repeat an id apart but their text, so they share the copies of
+    the id: each gets the whole part, and a hash of its text decides on the rest.
     """
-    taken = mix(docs, id_col, text_col, source_col).groupBy("doc_id").agg(F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows"))
-    joined = docs.join(taken.withColumnRenamed("doc_id", "mix_id"), docs[id_col].eqNullSafe(F.col("mix_id")))
-    rank = F.row_number().over(Window.partitionBy("mix_id").orderBy(F.xxhash64(text_col, source_col)))
-    each = F.when(F.col("mix_rows") == 1, F.col("mix_copies")).otherwise(
-        F.floor(F.col("mix_copies") / F.col("mix_rows")) + F.when(rank <= F.col("mix_copies") % F.col("mix_rows"), 1).otherwise(0)
+    taken = mix(docs, id_col, text_col, source_col).groupBy(F.col("doc_id").alias("mix_id")).agg(
+        F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")
     )
-    times = joined.withColumn("mix_each", each.cast("int")).filter("mix_each > 0")
-    return times.withColumn("mix_turn", F.explode(F.array_repeat(F.lit(1), F.col("mix_each")))).select(*[docs[c] for c in docs.columns])
+    joined = docs.join(taken, docs[id_col].eqNullSafe(taken["mix_id"]))
+    copies, rows = F.col("mix_copies"), F.col("mix_rows")
+    rest = (F.pmod(F.xxhash64(docs[text_col]), rows) < copies % rows).cast("int")
+    each = F.floor(copies / rows).cast("int") + rest
+    kept = joined.withColumn("mix_each", each).filter("mix_each > 0")
+    turns = kept.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_each"))))
+    return turns.select(*[docs[c] for c in docs.columns])
