@@ -43,6 +43,7 @@ BLOCK = 1 << 17
 KEEP = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256)
 )
+SMALL = {c: c + 32 for c in range(65, 91)}
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SHARDS = "shard long, doc_ids binary, absent binary, starts binary, index binary"
 HITS = "shard long, ordinal long, spans array<struct<first:long,stop:long>>, items array<string>"
@@ -323,7 +324,7 @@ def _union(spans: Column) -> Column:
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     """The text without the words of these spans and what stands between them."""
-    places = [m.span() for m in WORD.finditer(text)]
+    places = [m.span() for m in WORD.finditer(text.translate(SMALL))]
     out, at = [], 0
     for first, stop in spans:
         out.append(text[at : places[first][0]])
