@@ -24,6 +24,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -40,57 +41,97 @@ from meterline.scratch import fresh_path
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 SHARD = 1 << 21
-MEMO = 300_000
+MEMO = 150_000
+TOGETHER = 128
+BLANK = "\u0120"  # how a byte-level vocabulary spells a blank
+SPECIAL = "<|"  # texts that might spell a special token are encoded whole
 LOOSE_BLANK = re.compile(r" (?:\s|\Z)")
 
 SHARDS = "shard long, doc_ids binary, absent binary, sizes binary, matrix binary"
 ROWS = "shard long, ordinal long, doc_id long, n_tokens long, ids_crc32 long"
 
 
+class Memo(dict):
+    """Numbers pieces in the order they are first asked for."""
+
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        return number
+
+
 class Encoder:
-    """Whole texts to ids, remembering what a blank-led piece encodes to."""
+    """Whole texts to ids, remembering what a piece after a blank encodes to.
+
+    Pieces that are new are encoded together, each behind its blank; a byte-level token
+    that begins with a blank begins a piece, so the ids fall apart again by that.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        tokens = self.tokenizer.get_vocab()
+        self.blank_led = np.zeros(max(tokens.values()) + 1, dtype=bool)
+        self.blank_led[[i for t, i in tokens.items() if t.startswith(BLANK)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Memo()
         self.ids = np.zeros(0, dtype=np.uint32)
         self.starts = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int64)
 
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts end to end, and their number by text."""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        return np.fromiter(chain.from_iterable(got), dtype=np.uint32, count=int(sizes.sum())), sizes
+
     def _learn(self, pieces: list[str]) -> None:
-        got = [e.ids for e in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
-        sizes = np.array([len(g) for g in got], dtype=np.int64)
-        flat = np.fromiter((i for g in got for i in g), dtype=np.uint32, count=int(sizes.sum()))
-        self.starts = np.concatenate((self.starts, len(self.ids) + np.cumsum(sizes) - sizes))
+        joined = [" " + " ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
+        flat, _ = self._encoded(joined)
+        starts = np.flatnonzero(self.blank_led[flat])
+        if len(starts) == len(pieces):
+            sizes = np.diff(np.append(starts, len(flat)))
+        else:  # a vocabulary whose tokens do not keep pieces apart
+            flat, sizes = self._encoded([" " + p for p in pieces])
+            starts = np.cumsum(sizes) - sizes
+        self.starts = np.concatenate((self.starts, len(self.ids) + starts))
         self.ids = np.concatenate((self.ids, flat))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text, in order."""
         out: list[np.ndarray] = [np.zeros(0, dtype=np.uint32)] * len(texts)
-        cut = {}
-        for i, text in enumerate(texts):
-            if LOOSE_BLANK.search(text):
-                out[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-            elif text:
-                first, *rest = text.split(" ")
-                cut[i] = [first, *[" " + r for r in rest]] if first else [" " + r for r in rest]
+        alone = {i: t for i, t in enumerate(texts) if LOOSE_BLANK.search(t) or SPECIAL in t}
+        cut = [i for i, t in enumerate(texts) if t and i not in alone]
+        for i, text in alone.items():
+            out[i] = self._encoded([text])[0]
+        if not cut:
+            return out
         if len(self.known) > MEMO:
             self.clear()
-        fresh = dict.fromkeys(p for pieces in cut.values() for p in pieces if p not in self.known)
-        if fresh:
-            self._learn(list(fresh))
-        for i, pieces in cut.items():
-            which = np.fromiter(map(self.known.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-            sizes = self.sizes[which]
-            ends = np.cumsum(sizes)
-            take = np.arange(ends[-1]) + np.repeat(self.starts[which] - (ends - sizes), sizes)
-            out[i] = self.ids[take]
+        heads, tails = [], []
+        counts = np.empty(len(cut), dtype=np.int64)
+        for j, i in enumerate(cut):
+            first, *rest = texts[i].split(" ")
+            heads.append(first)
+            tails += rest
+            counts[j] = len(rest)
+        before = len(self.known)
+        which = np.fromiter(map(self.known.__getitem__, tails), dtype=np.int64, count=len(tails))
+        if len(self.known) > before:
+            self._learn(list(islice(self.known, before, None)))
+        sizes = self.sizes[which]
+        ends = np.cumsum(sizes)
+        take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[which] - (ends - sizes), sizes)
+        tail_ids = self.ids[take]
+        head_ids, head_sizes = self._encoded(heads)
+        stops = np.append(0, ends)[np.cumsum(counts)]
+        head_stops = np.cumsum(head_sizes)
+        at = head_at = 0
+        for i, stop, head_stop in zip(cut, stops.tolist(), head_stops.tolist()):
+            out[i] = np.concatenate((head_ids[head_at:head_stop], tail_ids[at:stop]))
+            at, head_at = stop, head_stop
         return out
 
 
