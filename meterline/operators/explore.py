@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import clip, exact_avg, percent
+from meterline.functions.numeric import clip, mean_of, percent
 from meterline.functions.text import decode
 from meterline.schema import EXPLORER_PAYMENT_LABELS, LABEL, MONTH
 
@@ -18,7 +18,7 @@ from meterline.schema import EXPLORER_PAYMENT_LABELS, LABEL, MONTH
 class Filters:
     """What the explorer shows. Anything left empty does not restrict the rows.
 
-    A payment label outside the menu's table does not restrict them either.
+    A payment type is given by its label in the menu or by its number.
     """
 
     months: tuple[str, ...] = ()
@@ -27,7 +27,6 @@ class Filters:
     payment: str | None = None
 
     def condition(self) -> Column:
-        codes = {text: code for code, text in EXPLORER_PAYMENT_LABELS.items()}
         terms = []
         if self.months:
             terms.append(F.col(MONTH).isin(*self.months))
@@ -35,23 +34,32 @@ class Filters:
             terms.append(F.col("time_of_day").isin(*self.day_parts))
         if self.airport is not None:
             terms.append(F.col("is_airport_trip") == int(self.airport))
-        if self.payment in codes:
-            terms.append(F.col("payment_type") == codes[self.payment])
+        if self.payment is not None:
+            terms.append(F.col("payment_type") == _payment_code(self.payment))
         return reduce(and_, terms, F.lit(True))
 
 
+def _payment_code(choice: str) -> int:
+    codes = {text: code for code, text in EXPLORER_PAYMENT_LABELS.items()}
+    if choice in codes:
+        return codes[choice]
+    if choice.isdecimal():
+        return int(choice)
+    raise ValueError(f"unknown payment type: {choice}")
+
+
 def apply_filters(trips: DataFrame, filters: Filters) -> DataFrame:
     return trips.filter(filters.condition())
 
 
-def key_figures(trips: DataFrame) -> DataFrame:
+def key_figures(trips: DataFrame, exact: bool = True) -> DataFrame:
     """One row: trips, average fare, tip, distance and duration, percent generous."""
     return trips.agg(
         F.count(F.lit(1)).alias("trips"),
-        exact_avg("fare_amount").alias("avg_fare"),
-        exact_avg("tip_amount").alias("avg_tip"),
-        exact_avg("trip_distance").alias("avg_distance"),
-        exact_avg("trip_duration_min").alias("avg_duration_min"),
+        mean_of("fare_amount", exact).alias("avg_fare"),
+        mean_of("tip_amount", exact).alias("avg_tip"),
+        mean_of("trip_distance", exact).alias("avg_distance"),
+        mean_of("trip_duration_min", exact).alias("avg_duration_min"),
         (F.avg(LABEL) * 100).alias("pct_generous"),
     )
 

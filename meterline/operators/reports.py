@@ -83,11 +83,11 @@ def reduction(raw: DataFrame, clean: DataFrame) -> DataFrame:
 
 
 def reduction_by(raw: DataFrame, clean: DataFrame, key: str = MONTH) -> DataFrame:
-    """The same for each value of ``key``; the inputs of the join are two small reports."""
-    before = raw.groupBy(key).agg(_rows().alias("raw_rows"))
-    after = clean.groupBy(key).agg(_rows().alias("clean_rows"))
-    joined = before.join(after, key, "full_outer")
-    return _with_removed(joined.fillna(0, ["raw_rows", "clean_rows"]))
+    """The same for each value of ``key``, null included: both tables counted, then put together."""
+    before = raw.groupBy(key).agg(_rows().alias("raw_rows"), F.lit(0).cast("long").alias("clean_rows"))
+    after = clean.groupBy(key).agg(F.lit(0).cast("long").alias("raw_rows"), _rows().alias("clean_rows"))
+    both = before.unionByName(after).groupBy(key)
+    return _with_removed(both.agg(F.sum("raw_rows").alias("raw_rows"), F.sum("clean_rows").alias("clean_rows")))
 
 
 def _with_removed(counts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import exact_avg, hit
+from meterline.functions.numeric import hit, mean_of
 from meterline.functions.temporal import day_part, weekend_flag
 from meterline.functions.text import decision_text, decode, percent_text
 from meterline.functions.trip import speed_from_minutes
@@ -135,7 +135,7 @@ def responses(scored: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def prediction_summary(scored: DataFrame, label: str = LABEL) -> DataFrame:
+def prediction_summary(scored: DataFrame, label: str = LABEL, exact: bool = True) -> DataFrame:
     """One row: predictions, positive and negative ones, accuracy, mean confidence."""
     prediction, truth = F.col("prediction"), F.col(label).cast("double")
     return scored.agg(
@@ -143,14 +143,14 @@ def prediction_summary(scored: DataFrame, label: str = LABEL) -> DataFrame:
         F.count_if(prediction == 1.0).alias("predicted_generous"),
         F.count_if(prediction == 0.0).alias("predicted_not_generous"),
         F.round(F.avg(hit(prediction, truth)), 4).alias("accuracy"),
-        F.round(exact_avg("confidence"), 4).alias("avg_confidence"),
+        F.round(mean_of("confidence", exact), 4).alias("avg_confidence"),
     )
 
 
-def prediction_figures(scored: DataFrame) -> DataFrame:
+def prediction_figures(scored: DataFrame, exact: bool = True) -> DataFrame:
     """Percent predicted generous and mean confidence."""
     return scored.agg(
         F.count(F.lit(1)).alias("predictions"),
         F.round(F.avg("prediction") * 100, 1).alias("pct_generous"),
-        F.round(exact_avg("confidence"), 3).alias("avg_confidence"),
+        F.round(mean_of("confidence", exact), 3).alias("avg_confidence"),
     )

@@ -64,5 +64,5 @@ def union_common(frames: dict[str, DataFrame]) -> tuple[DataFrame, UnionReport]:
 
 
 def signature(schema: StructType) -> tuple[tuple[str, str], ...]:
-    """Lower-case names and types, for telling apart files that need separate scans."""
-    return tuple(sorted((f.name.lower(), f.dataType.simpleString()) for f in schema.fields))
+    """Names and types, for telling apart files that need separate scans."""
+    return tuple(sorted((f.name, f.dataType.simpleString()) for f in schema.fields))

@@ -16,8 +16,9 @@ from meterline import scratch
 from meterline.schema import MONTH
 from meterline.sources import contract
 
-# Fixed format: the month stands before the suffix of the file (or folder) name.
-MONTH_IN_PATH = r"(\d{4}-\d{2})\.parquet(?:/|$)"
+# Fixed format: the month stands before the suffix of the file (or folder) name, or is the
+# name of the folder of the file.
+MONTH_IN_PATH = r"(\d{4}-\d{2})(?:\.parquet(?:/|$)|/[^/]+$)"
 
 ZONE_SCHEMA = "locationid long, borough string, zone string, service_zone string"
 
@@ -28,6 +29,14 @@ REQUEST_SCHEMA = (
 )
 
 
+def _files(spark: SparkSession, paths: Sequence[str]) -> dict[str, str | None]:
+    """Every file below the paths with the month its path names; only listings are read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+    month = F.regexp_extract("path", MONTH_IN_PATH, 1)
+    rows = listed.load(list(paths)).select("path", F.nullif(month, F.lit("")).alias("month")).collect()
+    return {r["path"]: r["month"] for r in rows}
+
+
 def read_months(
     spark: SparkSession,
     paths: Sequence[str],
@@ -35,26 +44,33 @@ def read_months(
 ) -> tuple[DataFrame, contract.UnionReport]:
     """All monthly files as one table, tagged with the month in the file name.
 
-    Only the footers are looked at up front. Files with the same schema go into one
-    scan, so the plan grows with the number of different schemas, not of files.
+    Paths may be files or folders of files. The footer of every file is looked at, so files
+    of one folder may differ; files with the same schema go into one scan, so the plan grows
+    with the number of different schemas, not of files. A file whose path names no month is
+    an error. The report names files, or folders where all their files agree.
     """
     if not paths:
         raise ValueError("no files to read")
+    found = _files(spark, paths)
+    unnamed = sorted(f for f, month in found.items() if month is None)
+    if unnamed or not found:
+        raise ValueError(f"no month in the name of {', '.join(unnamed[:5])}" if unnamed else "no files to read")
+    files = sorted(found)
     with ThreadPoolExecutor(max_workers=16) as readers:
-        found = readers.map(lambda path: spark.read.parquet(path).schema, paths)
-        schemas = dict(zip(paths, found))
+        schemas = dict(zip(files, readers.map(lambda file: spark.read.parquet(file).schema, files)))
     report = contract.common_columns(
-        {path: contract.lower_names(schema.names) for path, schema in schemas.items()}
+        {file: contract.lower_names(schema.names) for file, schema in schemas.items()}
     )
     groups: dict[tuple, list[str]] = {}
-    for path, schema in schemas.items():
-        groups.setdefault(contract.signature(schema), []).append(path)
+    for file, schema in schemas.items():
+        groups.setdefault(contract.signature(schema), []).append(file)
 
     frames = {}
     for members in groups.values():
+        # Names as the files spell them: a session may tell capitals apart.
         wanted = StructType(
             [
-                StructField(f.name.lower(), f.dataType, True)
+                StructField(f.name, f.dataType, True)
                 for f in schemas[members[0]].fields
                 if f.name.lower() in report.kept and f.name.lower() != MONTH
             ]
@@ -64,7 +80,18 @@ def read_months(
         tagged = scan.select("*", month.alias(MONTH))
         frames[members[0]] = contract.normalize(tagged, targets)
     table, _ = contract.union_common(frames)
-    return table, report
+    return table, contract.UnionReport(report.kept, _by_path(report.dropped, files, paths))
+
+
+def _by_path(dropped: dict[str, tuple[str, ...]], files: Sequence[str], paths: Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """The same report under the names the caller used, where all files below a path agree."""
+    out = dict(dropped)
+    for path in paths:
+        below = [f for f in files if f.endswith(path) or f"{path.rstrip('/')}/" in f]
+        left = {dropped.get(f, ()) for f in below}
+        if len(left) == 1 and (columns := left.pop()):
+            out = {f: c for f, c in out.items() if f not in below} | {path: columns}
+    return out
 
 
 def read_lookup(

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from meterline import scratch
 from meterline.schema import LABEL, MONTH
 
+NO_DATABASE = "no database given"
+
 IfPresent = Literal["skip", "overwrite", "overwrite_partitions"]
 
 
@@ -66,6 +68,10 @@ class Delivery:
     location: str
     problem: str | None = None
 
+    def told(self) -> str | None:
+        """What a report of the run has to say: why a database that was named was not reached."""
+        return None if self.problem in (None, NO_DATABASE) else f"csv fallback: {self.problem}"
+
 
 def write_jdbc(
     df: DataFrame,
@@ -94,13 +100,13 @@ def deliver_report(
 
     The failure is part of the answer, so that the caller can act on it.
     """
-    problem = "no database given"
+    problem = NO_DATABASE
     if url is not None:
         try:
             write_jdbc(report, url, table, properties or {})
             return Delivery("jdbc", table)
         except Exception as error:  # noqa: BLE001 - drivers raise anything through the JVM
-            problem = f"{type(error).__name__}: {str(error).splitlines()[0]}"
+            problem = ": ".join([type(error).__name__, *str(error).splitlines()[:1]])
     return Delivery("csv", write_csv(report, csv_path, single_file=True), problem)
 
 

@@ -136,3 +136,19 @@ def test_hashes_stay_in_range_and_spread(spark):
         assert 0 <= found.low and found.high < hashing.HASH_SPACE and found.n == 4000
         below = spark.range(4000).filter(made < int(0.25 * hashing.HASH_SPACE)).count()
         assert 850 < below < 1150
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize(
+    ("values", "mean"),
+    [([1e-9, 3e-9], 2e-9), ([2e11, 4e11], 3e11), ([1.0, float("nan")], float("nan")), ([1.0, float("inf")], float("inf")),
+     ([0.1, 0.2, None], 0.15), ([None, None], None), ([0.0, 1e-12], 5e-13), ([9e10, 9e10], 9e10), ([-1e300, 3e300], 1e300)],
+)
+def test_means_of_any_size(spark, ansi, values, mean):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        got = spark.createDataFrame([(v,) for v in values], "v double").agg(numeric.exact_avg("v")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert got == pytest.approx(mean, nan_ok=True) if mean is not None else got is None

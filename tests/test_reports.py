@@ -89,7 +89,9 @@ def test_filters(clean):
     assert n(day_parts=("night", "evening")) == 30
     assert n(airport=True) == 30 and n(airport=False) == 30
     assert n(payment="Cash") == 10
-    assert n(payment="5") == 60  # not in the menu's table: no restriction
+    assert n(payment="5") == 10
+    with pytest.raises(ValueError, match="unknown payment"):
+        n(payment="Barter")
 
 
 def test_key_figures_and_payments(clean):

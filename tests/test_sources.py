@@ -140,3 +140,44 @@ def test_scratch_paths_lie_in_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch.fresh_path(spark, "t"), scratch.fresh_path(spark, "t")
     assert one.startswith(folder) and one != two
+
+
+def test_files_of_one_folder_may_differ(spark, tmp_path):
+    path = str(tmp_path / "t_2023-01.parquet")
+    spark.range(3).select(F.col("id").alias("vendorid"), F.lit(1.5).alias("tolls_amount")).coalesce(1).write.parquet(path)
+    spark.range(5).select(F.col("id").alias("vendorid")).coalesce(1).write.mode("append").parquet(path)
+    table, report = readers.read_months(spark, [path])
+    assert table.columns == ["source_month", "vendorid"] and table.count() == 8
+    assert list(report.dropped.values()) == [("tolls_amount",)]
+
+
+def test_a_path_without_a_month_is_an_error(spark, tmp_path):
+    path = str(tmp_path / "trips.parquet")
+    spark.range(2).write.parquet(path)
+    with pytest.raises(ValueError, match="no month"):
+        readers.read_months(spark, [path])
+
+
+def test_months_as_folders(spark, tmp_path):
+    path = str(tmp_path / "2023-04")
+    spark.range(2).write.parquet(path)
+    table, _ = readers.read_months(spark, [path])
+    assert [r.source_month for r in table.collect()] == ["2023-04"] * 2
+
+
+def test_capitals_in_a_session_that_tells_them_apart(spark, months):
+    spark.conf.set("spark.sql.caseSensitive", "true")
+    try:
+        table, _ = readers.read_months(spark, months)
+        assert table.filter("vendorid IS NULL OR airport_fee IS NULL").count() == 0 and table.count() == 12
+    finally:
+        spark.conf.unset("spark.sql.caseSensitive")
+
+
+def test_an_error_without_text_still_falls_back(spark, tmp_path, monkeypatch):
+    def fail(*_, **__):
+        raise RuntimeError
+
+    monkeypatch.setattr(writers, "write_jdbc", fail)
+    sent = writers.deliver_report(spark.range(2).toDF("n"), "t", "jdbc:x", {}, str(tmp_path / "t"))
+    assert (sent.kind, sent.told()) == ("csv", "csv fallback: RuntimeError")
