@@ -15,12 +15,13 @@ from pyspark.ml.feature import (
 )
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from meterline.operators.cleaning import without_leakage
 from meterline.operators.reports import distribution
 from meterline.operators.sampling import train_flag
 from meterline.schema import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
-from meterline.scratch import is_complete
+from meterline.scratch import read_note, write_note
 from meterline.sources.readers import load_features, read_splits
 from meterline.sources.writers import save_model, write_splits
 
@@ -113,27 +114,35 @@ def prepare(
     fit_on: Literal["train", "all"] = "train",
     keys: list[str] | None = None,
     by: Column | None = None,
-    reuse: bool = True,
+    version: str | None = None,
 ) -> Prepared:
     """Split, fit the stages, transform, write the parts and the stages below ``folder``.
 
     The split is taken on the rows before any fitting, so with ``fit_on="train"`` the
-    test rows leave no trace in the stages; ``"all"`` fits them on every row. What a
-    finished run left in ``folder`` is read back instead of made again.
+    test rows leave no trace in the stages; ``"all"`` fits them on every row.
+
+    ``version`` says what rows and settings went in. A note of it is written last, and only
+    a folder with the same note is read back instead of made again; without a version
+    everything is made again.
 
     Training starts from the written tables: a lost executor costs a read, not the
     cleaning before it.
     """
     spark = clean.sparkSession
     inputs = complete_inputs(clean)
-    stages_path, splits_path = f"{folder}/stages", f"{folder}/splits"
-    if not (reuse and is_complete(spark, splits_path)):
+    stages_path, splits_path, note = f"{folder}/stages", f"{folder}/splits", f"{folder}/version.txt"
+    if version is None or read_note(spark, note) != version:
+        write_note(spark, note, "")
         part = F.when(train_flag(inputs, keys=keys, by=by), "train").otherwise("test")
-        rows = inputs.withColumn("part", part)
+        # The parts are written first: cleaning runs once, and fitting reads what it left.
+        rows_path = f"{folder}/rows"
+        write_splits(inputs.withColumn("part", part), rows_path)
+        rows = spark.read.schema(StructType([*inputs.schema.fields, StructField("part", StringType())])).parquet(rows_path)
         stages = feature_stages().fit(
             rows.filter(F.col("part") == "train") if fit_on == "train" else rows
         )
-        save_model(stages, stages_path)
         write_splits(stages.transform(rows).select(FEATURES, LABEL, "part"), splits_path)
+        save_model(stages, stages_path)
+        write_note(spark, note, version or "")
     train, test = read_splits(spark, splits_path)
     return Prepared(train, test, load_features(stages_path), distribution(inputs, LABEL))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline import scratch
-from meterline.functions.hashing import portable_hash
+from meterline.functions.hashing import portable_hash, row_hash
 from meterline.functions.temporal import day_part, elapsed_seconds, weekend_flag
 from meterline.ml import features, models
 from meterline.operators import (
@@ -53,12 +53,9 @@ def registered() -> dict[str, Query]:
 
 # --- Shared inputs -----------------------------------------------------------
 
-# Trips of the view are all different, so most queries skip the shuffle that looks
-# for copies. The queries about copies, and the jobs, do it.
-
 
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_rows(trips(spark, folder), ANY_PERIOD, copies=True)
+    return cleaning.clean_rows(trips(spark, folder), ANY_PERIOD)
 
 
 def _requests(spark: SparkSession, folder: str) -> DataFrame:
@@ -213,6 +210,23 @@ def describe_numeric(spark, folder):
     return profile.numeric_summary(trips(spark, folder), columns, digits=6)
 
 
+@query
+def describe_small_values(spark, folder):
+    """Values too small for sums in fixed units; compared in millionths of a billionth."""
+    small = table(spark, folder, "lineitem").select((F.col("l_discount") / 1e9).alias("l_discount"))
+    found = profile.numeric_summary(small, ["l_discount"])
+    return found.withColumn("l_discount", F.when(F.col("summary") == "count", F.col("l_discount")).otherwise(F.round(F.col("l_discount") * 1e15, 0)))
+
+
+@query
+def reduction_report_null_months(spark, folder):
+    """Trips whose month is not known keep a row of their own."""
+    some = F.when(F.col("l_orderkey") % 5 != 0, F.col(MONTH))
+    return reports.reduction_by(
+        trips(spark, folder).withColumn(MONTH, some), _clean(spark, folder).withColumn(MONTH, some)
+    )
+
+
 @query
 def class_distribution(spark, folder):
     return reports.distribution(_clean(spark, folder), LABEL)
@@ -274,6 +288,12 @@ def explorer_filtered(spark, folder):
 
 @query
 def explorer_unfiltered_by_hour(spark, folder):
+    shown = explore.apply_filters(_clean(spark, folder), explore.Filters())
+    return explore.trips_by_hour(shown)
+
+
+@query
+def explorer_payment_code_by_hour(spark, folder):
     shown = explore.apply_filters(_clean(spark, folder), explore.Filters(payment="5"))
     return explore.trips_by_hour(shown)
 
@@ -380,6 +400,21 @@ def reconciled_union(spark, folder):
     return union.drop("o_orderdate")
 
 
+@query
+def dropped_columns(spark, folder):
+    """What a union of three files, two of one month, leaves out: a column one file lacks."""
+    orders = table(spark, folder, "orders")
+    place = scratch.fresh_path(spark, "folders")
+    writers.write_table(orders.filter("o_orderkey % 2 = 0").coalesce(1), f"{place}/orders_1994-12.parquet")
+    orders.filter("o_orderkey % 2 = 1").drop("o_orderpriority").coalesce(1).write.mode("append").parquet(f"{place}/orders_1994-12.parquet")
+    writers.write_table(orders.withColumn("only_here", F.lit(1)).coalesce(1), f"{place}/orders_1995-01.parquet")
+    union, report = readers.read_months(spark, [f"{place}/orders_1994-12.parquet", f"{place}/orders_1995-01.parquet"])
+    left = {c for columns in report.dropped.values() for c in columns}
+    return union.groupBy(MONTH).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("o_custkey").alias("customers"), F.lit(",".join(sorted(left))).alias("dropped")
+    )
+
+
 @query
 def lookup_csv_roundtrip(spark, folder):
     """A zone lookup made of the customers, as CSV and back."""
@@ -416,6 +451,25 @@ def one_month_filtered(spark, folder):
     return reports.fare_by(month, "time_of_day", "payment_type")
 
 
+@query
+def written_sample(spark, folder):
+    """A sample of fixed size of a written table."""
+    saved = readers.read_table(spark, _written(spark, folder))
+    rows = sampling.fixed_size(saved, 500, row_hash(["fare_amount", "trip_distance", "trip_duration_min", MONTH]))
+    return rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_if(F.col("fare_amount") >= 2.5).alias("valid"))
+
+
+@query
+def rewritten_partitions(spark, folder):
+    """A table written twice: skipped as a whole, then one month replaced by half of it."""
+    path = _written(spark, folder)
+    clean = cleaning.clean_columns(_clean(spark, folder))
+    writers.write_partitioned(clean.limit(0), path, if_present="skip")
+    part = clean.filter((F.col(MONTH) == "1995-03") & (F.col("vendorid") == 1))
+    writers.write_partitioned(part, path, if_present="overwrite_partitions")
+    return writers.count_partitions(spark, path)
+
+
 @query
 def summary_csv_delivery(spark, folder):
     """The summary without a database: one CSV file, read back with its types."""

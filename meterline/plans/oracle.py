@@ -113,7 +113,7 @@ clean AS (
     coalesce(congestion_surcharge, CAST(2.5 AS DOUBLE)) AS congestion_surcharge,
     coalesce(airport_fee, CAST(0 AS DOUBLE)) AS airport_fee,
     coalesce(store_and_fwd_flag, 'N') AS store_and_fwd_flag)
-  FROM derived WHERE {_NO_PERIOD}
+  FROM (SELECT DISTINCT * FROM derived) WHERE {_NO_PERIOD}
 )"""
 
 _FROM_TRIPS = f"WITH {_TRIPS}"
@@ -421,6 +421,28 @@ def statements() -> dict[str, str]:
         "explorer_filtered": f"{_FROM_CLEAN} SELECT {_FIGURES} FROM clean WHERE {_EXPLORED}",
         "explorer_unfiltered_by_hour": f"""{_FROM_CLEAN}
             SELECT pickup_hour, count(*) AS trips FROM clean GROUP BY ALL""",
+        "explorer_payment_code_by_hour": f"""{_FROM_CLEAN}
+            SELECT pickup_hour, count(*) AS trips FROM clean WHERE payment_type = 5 GROUP BY ALL""",
+        "describe_small_values": "WITH s AS (SELECT l_discount / 1e9::DOUBLE AS d FROM lineitem) "
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS summary, {value} AS l_discount FROM s"
+            for name, value in {
+                "count": "CAST(count(d) AS DOUBLE)",
+                **{n: f"round({f}(d) * 1e15::DOUBLE, 0)" for n, f in (("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))},
+            }.items()
+        ),
+        "reduction_report_null_months": f"""{_FROM_CLEAN},
+            r AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN source_month END AS source_month, count(*) AS raw_rows FROM trips GROUP BY 1),
+            c AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN source_month END AS source_month, count(*) AS clean_rows FROM clean GROUP BY 1)
+            SELECT source_month, raw_rows, clean_rows, {_REMOVED} FROM (
+              SELECT r.source_month, raw_rows, coalesce(clean_rows, 0) AS clean_rows
+              FROM r LEFT JOIN c ON r.source_month IS NOT DISTINCT FROM c.source_month)""",
+        "dropped_columns": """SELECT m AS source_month, count(*) AS row_count, CAST(sum(o_custkey) AS BIGINT) AS customers,
+            'o_orderpriority,only_here' AS dropped
+            FROM (SELECT '1994-12' AS m, * FROM orders UNION ALL SELECT '1995-01', * FROM orders) GROUP BY m""",
+        "written_sample": f"""{_FROM_CLEAN} SELECT least(500, count(*)) AS row_count, least(500, count(*)) AS valid FROM clean""",
+        "rewritten_partitions": f"""{_FROM_CLEAN} SELECT source_month, count(*) AS row_count FROM clean
+            WHERE source_month <> '1995-03' OR vendorid = 1 GROUP BY ALL""",
         "generous_by_payment": f"""{_FROM_CLEAN} SELECT
             CASE payment_type WHEN 1 THEN 'Credit Card' WHEN 2 THEN 'Cash' WHEN 3 THEN 'No Charge'
               WHEN 4 THEN 'Dispute' ELSE CAST(payment_type AS VARCHAR) END AS payment,
@@ -526,11 +548,12 @@ def statements() -> dict[str, str]:
             SELECT 1 AS step, 'extract' AS phase, 'SUCCESS' AS status, count(*) AS row_count
             FROM trips
             UNION ALL SELECT 2, 'transform', 'SUCCESS', NULL
-            UNION ALL SELECT 3, 'load', 'SUCCESS', count(*) FROM clean""",
+            UNION ALL SELECT 3, 'load', 'SUCCESS', count(*) FROM clean
+            UNION ALL SELECT 4, 'reduction', 'SUCCESS', (SELECT count(*) FROM trips) - count(*) FROM clean""",
         "full_run_report": f"""{_FROM_CLEAN}
             SELECT 1 AS step, 'etl' AS phase, 'SUCCESS' AS status, count(*) AS row_count FROM clean
             UNION ALL SELECT 2, 'prepare', 'SUCCESS', count(*) FROM clean
-            UNION ALL SELECT 3, 'predict', 'SUCCESS', NULL
-            UNION ALL SELECT 4, 'save', 'SUCCESS', count(*) FROM clean
-              WHERE {_HASH} >= {_below(0.8)}""",
+            UNION ALL SELECT 3, 'train', 'SUCCESS', count(*) FROM clean WHERE {_HASH} < {_below(0.8)}
+            UNION ALL SELECT 4, 'predict', 'SUCCESS', count(*) FROM clean WHERE {_HASH} >= {_below(0.8)}
+            UNION ALL SELECT 5, 'save', 'SUCCESS', 1""",
     }

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -39,3 +40,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a finished job wrote this folder (it left its success marker)."""
     return path_exists(spark, f"{path}/_SUCCESS")
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """One small text at a path, replaced as a whole."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(target, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """The text of a note; None if there is none."""
+    if not path_exists(spark, path):
+        return None
+    return spark.read.text(path, wholetext=True).agg(F.max("value")).first()[0]
+
+
+def file_sizes(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, int]]:
+    """Name, length and time of change of files."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in sorted(paths):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = target.getFileSystem(hadoop).getFileStatus(target)
+        found.append((path, status.getLen(), status.getModificationTime()))
+    return found

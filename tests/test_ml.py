@@ -1,10 +1,13 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
+from meterline import scratch
 from meterline.ml import features, models
 from meterline.operators import cleaning, evaluation, scoring
 from meterline.plans import jobs
@@ -54,13 +57,24 @@ def test_stages_come_from_train_rows_unless_asked(clean, tmp_path):
     assert kinds["train"].mean[2] != pytest.approx(whole, rel=1e-9)
 
 
-def test_finished_splits_are_read_back(spark, clean, tmp_path):
+def test_only_splits_of_the_same_version_are_read_back(spark, clean, tmp_path):
+    folder = str(tmp_path / "prep")
+    n = features.prepare(clean, folder, keys=TRIP_KEYS, version="a").train.count()
+    same = features.prepare(clean.limit(0), folder, keys=TRIP_KEYS, version="a")
+    assert same.train.count() == n and len(same.train.first().features) == 26
+    half = clean.filter("l_orderkey % 2 = 0")
+    other = features.prepare(half, folder, keys=TRIP_KEYS, version="b")
+    assert other.train.count() + other.test.count() == features.complete_inputs(half).count()
+
+
+def test_a_crash_between_splits_and_stages_is_not_reused(spark, clean, tmp_path, monkeypatch):
     folder = str(tmp_path / "prep")
-    first = features.prepare(clean, folder, keys=TRIP_KEYS)
-    n = first.train.count()
-    second = features.prepare(clean.limit(0), folder, keys=TRIP_KEYS)
-    assert second.train.count() == n
-    assert len(second.train.first().features) == 26
+    n = features.prepare(clean, folder, keys=TRIP_KEYS, version="a").train.count()
+    with monkeypatch.context() as broken:
+        broken.setattr(features, "save_model", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            features.prepare(clean.filter("l_orderkey % 2 = 0"), folder, keys=TRIP_KEYS, version="b")
+    assert features.prepare(clean, folder, keys=TRIP_KEYS, version="a").train.count() == n
 
 
 def test_unseen_categories_and_null_numbers(clean, prepared):
@@ -152,12 +166,13 @@ def test_etl_job_from_monthly_files(spark, make_trips, tmp_path):
         stamp = {"tpep_pickup_datetime": f"{month}-05 08:00:00", "tpep_dropoff_datetime": f"{month}-05 08:20:00"}
         make_trips(stamp, stamp, {**stamp, "fare_amount": 1.0}).drop("source_month").write.parquet(path)
         paths.append(path)
-    settings = jobs.RunSettings(str(tmp_path / "run"))
+    settings = jobs.RunSettings(str(tmp_path / "run"), verify=True)
     source = jobs.extract(spark, paths)
     assert {r.source_month: r.row_count for r in source.profile().collect()} == {"2023-01": 3, "2023-02": 3}
     report = jobs.run_etl(lambda: source.trips, settings, spark).collect()
     assert [(r.phase, r.status, r.row_count) for r in report] == [
         ("extract", "SUCCESS", 6), ("transform", "SUCCESS", None), ("load", "SUCCESS", 2),
+        ("reduction", "SUCCESS", 4),
     ]
     summary = spark.read.option("header", True).csv(settings.report_path("trip_summary"))
     assert summary.count() == 2
@@ -171,19 +186,77 @@ def test_failing_phase_is_reported_and_raised(spark, make_trips, tmp_path):
     assert statuses[0] == "SUCCESS" and statuses[1].startswith("FAILED") and statuses[2] == "NOT RUN"
 
 
+def run_settings(folder, **more):
+    return jobs.RunSettings(str(folder), limits=ANY_PERIOD, forest=models.ForestSettings(trees=3, depth=3), split_keys=tuple(TRIP_KEYS), **more)
+
+
+def rows_of(run):
+    return {r.phase: r.row_count for r in run.report.collect()}
+
+
 def test_full_run_and_rerun(spark, small, tmp_path):
-    settings = jobs.RunSettings(
-        str(tmp_path / "run"),
-        limits=ANY_PERIOD,
-        if_present="skip",
-        forest=models.ForestSettings(trees=5, depth=3),
-    )
+    settings = run_settings(tmp_path / "run", if_present="skip")
     first = jobs.run_all(lambda: trips(spark, small), settings, spark)
-    assert [r.status for r in first.report.collect()] == ["SUCCESS"] * 4
+    assert [r.status for r in first.report.collect()] == ["SUCCESS"] * 5
     row = first.summary.first()
-    assert row.total_predictions == first.prepared.test.count()
+    assert row.total_predictions == first.prepared.test.count() == rows_of(first)["predict"]
     assert row.predicted_generous + row.predicted_not_generous == row.total_predictions
+    stamp = scratch.file_sizes(spark, [f"{settings.model_path}/metadata/_SUCCESS"])
     second = jobs.run_all(lambda: trips(spark, small), settings, spark)
-    assert tuple(second.summary.first()) == tuple(row)
+    assert tuple(second.summary.first()) == tuple(row) and rows_of(second) == rows_of(first)
+    assert scratch.file_sizes(spark, [f"{settings.model_path}/metadata/_SUCCESS"]) == stamp  # not trained again
     saved = spark.read.parquet(settings.predictions_path)
     assert saved.columns == ["generous_tipper", "prediction", "confidence"]
+
+
+@pytest.mark.parametrize("if_present", ["skip", "overwrite"])
+def test_new_rows_leave_nothing_stale(spark, small, tmp_path, if_present):
+    settings = run_settings(tmp_path / "run", if_present=if_present)
+    tables = [str(tmp_path / n) for n in ("part", "all")]
+    trips(spark, small).filter("l_orderkey % 2 = 0").write.parquet(tables[0])
+    trips(spark, small).write.parquet(tables[1])
+    runs = [jobs.run_all(lambda t=t: spark.read.parquet(t), settings, spark) for t in tables]
+    part, whole = map(rows_of, runs)
+    assert part["etl"] < whole["etl"] == whole["prepare"]
+    assert whole["predict"] == runs[1].prepared.test.count() == runs[1].summary.first().total_predictions
+    assert whole["train"] + whole["predict"] == whole["etl"]
+
+
+def test_changed_settings_train_again(spark, small, tmp_path):
+    settings = run_settings(tmp_path / "run", if_present="skip")
+    jobs.run_all(lambda: trips(spark, small), settings, spark)
+    larger = replace(settings, forest=models.ForestSettings(trees=4, depth=2))
+    jobs.run_all(lambda: trips(spark, small), larger, spark)
+    assert readers.load_classifier(settings.model_path).getNumTrees == 4
+
+
+def test_an_unreachable_database_is_told(spark, small, tmp_path):
+    lost = jobs.Database("jdbc:nobody://nowhere/none")
+    settings = run_settings(tmp_path / "run", database=lost)
+    report = {r.phase: r.status for r in jobs.run_etl(lambda: trips(spark, small), settings, spark).collect()}
+    assert report["load"].startswith("SUCCESS; csv fallback: ")
+    with pytest.raises(jobs.RunFailed, match="load"):
+        jobs.run_etl(lambda: trips(spark, small), replace(settings, database_required=True), spark)
+
+
+def test_no_valid_row(spark, make_trips, tmp_path):
+    bad = make_trips({"fare_amount": 1.0}, {"fare_amount": 0.0})
+    report = jobs.run_etl(lambda: bad, jobs.RunSettings(str(tmp_path / "run")), spark).collect()
+    assert [(r.phase, r.row_count) for r in report] == [("extract", 2), ("transform", None), ("load", 0), ("reduction", 2)]
+
+
+def test_training_job(spark, clean, tmp_path):
+    grid = models.TuningGrid(trees=(2, 3), depths=(2,), least_rows=(1,), folds=2, sample=0.5, parallelism=1)
+    done = jobs.run_training(clean, run_settings(tmp_path / "run"), spark, grid)
+    report = {r.phase: (r.status, r.row_count) for r in done.report.collect()}
+    assert all(status == "SUCCESS" for status, _ in report.values()) and report["tune"][1] == 2
+    assert {r.metric for r in done.comparison.collect()} == {"auc", "accuracy", "precision", "recall", "f1"}
+    assert done.fares.count() > 0
+    assert readers.load_regressor(run_settings(tmp_path / "run").fare_model_path).numFeatures == 10
+
+
+def test_lost_rows_are_noticed(spark, small, tmp_path, monkeypatch):
+    write = jobs.writers.write_partitioned
+    monkeypatch.setattr(jobs.writers, "write_partitioned", lambda df, *a, **k: write(df.limit(3), *a, **k))
+    with pytest.raises(jobs.RunFailed, match="load"):
+        jobs.run_etl(lambda: trips(spark, small), run_settings(tmp_path / "run", verify=True), spark)
