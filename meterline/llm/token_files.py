@@ -41,7 +41,8 @@ from meterline.scratch import fresh_path
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 SHARD = 1 << 21
-MEMO = 150_000
+MEMO = 400_000
+CHARACTERS = 1 << 21  # of text encoded at a time
 TOGETHER = 128
 BLANK = "\u0120"  # how a byte-level vocabulary spells a blank
 SPECIAL = "<|"  # texts that might spell a special token are encoded whole
@@ -159,8 +160,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         parts: list[np.ndarray] = []
         held = number = 0
         for frame in frames:
-            for at in range(0, len(frame), 512):
-                some = frame.iloc[at : at + 512]
+            runs = frame["body"].str.len().cumsum() // CHARACTERS
+            for _, some in frame.groupby(runs, sort=True):
                 for i, found in zip(some["doc_id"], tool.encode(some["body"].tolist())):
                     ids.append(None if pd.isna(i) else int(i))
                     parts.append(np.concatenate((found, end)))
