@@ -23,7 +23,7 @@ from meterline.operators import reports, scoring
 from meterline.plans import catalog, jobs
 from meterline.plans.bindings import ANY_PERIOD, trips
 from meterline.schema import MONTH
-from meterline.sources import readers
+from meterline.sources import readers, writers
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -123,7 +123,7 @@ def main() -> None:
 
     def prepare() -> None:
         clean = readers.read_table(spark, settings.clean_path)
-        ready["data"] = features.prepare(clean, f"{place}/ml", reuse=False)
+        ready["data"] = features.prepare(clean, f"{place}/ml", version="bench")
 
     def train() -> None:
         ready["model"] = models.train_classifier(ready["data"].train)
@@ -132,10 +132,25 @@ def main() -> None:
         scored = scoring.score_by_model(ready["data"].test, ready["model"])
         ready["summary"] = scoring.prediction_summary(scored).first()
 
+    def save() -> None:
+        scored = scoring.score_by_model(ready["data"].test, ready["model"])
+        writers.write_predictions(scored, f"{place}/predictions")
+
+    def tune() -> None:
+        grid = models.TuningGrid(trees=(5, 10), depths=(4,), least_rows=(1,), folds=2, sample=0.2)
+        models.tune_classifier(ready["data"].train, grid)
+
+    def full_run() -> None:
+        chosen = jobs.RunSettings(f"{place}/full", limits=ANY_PERIOD, forest=models.ForestSettings(trees=10, depth=5))
+        jobs.run_all(lambda: jobs.extract(spark, files).trips, chosen, spark)
+
     def fares() -> None:
         models.fare_metrics(models.fit_fares(written)[1]).collect()
 
-    steps = {"prepare": prepare, "train_forest": train, "predict": predict, "fit_fares": fares}
+    steps = {
+        "prepare": prepare, "prepare_reloaded": prepare, "train_forest": train, "predict": predict, "save": save,
+        "fit_fares": fares, "tune_small_grid": tune, "full_run": full_run,
+    }
     for name, work in steps.items():
         times[f"ml_{name}"] = timed(work)
 
