@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -106,12 +107,12 @@ def feature_importances(
 # --- Regressor ---------------------------------------------------------------
 
 
-def fare_vectors(clean: DataFrame) -> DataFrame:
+def fare_vectors(inputs: DataFrame) -> DataFrame:
     """Vectors of the fare model's inputs, and the fare."""
     assembler = VectorAssembler(
         inputCols=list(FARE_FEATURES), outputCol="features", handleInvalid="skip"
     )
-    return assembler.transform(fare_inputs(clean)).select("features", FARE_TARGET)
+    return assembler.transform(inputs).select("features", FARE_TARGET)
 
 
 def train_regressor(train: DataFrame, target: str = FARE_TARGET) -> LinearRegressionModel:
@@ -125,15 +126,36 @@ def fit_fares(
     clean: DataFrame, train_share: float = 0.8
 ) -> tuple[LinearRegressionModel, DataFrame]:
     """The fare model fitted on one part of the trips, and its predictions on the rest."""
-    train, test = train_test(fare_inputs(clean), train=train_share)
-    assembler = VectorAssembler(
-        inputCols=list(FARE_FEATURES), outputCol="features", handleInvalid="skip"
-    )
-    model = train_regressor(assembler.transform(train).select("features", FARE_TARGET))
-    scored = model.transform(assembler.transform(test).select("features", FARE_TARGET))
+    model, _, scored = fit_fare_parts(clean, train_share)
     return model, scored
 
 
+def fit_fare_parts(
+    clean: DataFrame, train_share: float = 0.8
+) -> tuple[LinearRegressionModel, DataFrame, DataFrame]:
+    """The fare model and its predictions on both parts, the part it was fitted on first."""
+    train, test = (fare_vectors(part) for part in train_test(fare_inputs(clean), train=train_share))
+    model = train_regressor(train)
+    return model, model.transform(train), model.transform(test)
+
+
+def ridge_slopes(model: LinearRegressionModel, train: DataFrame, target: str = FARE_TARGET) -> DataFrame:
+    """Per feature, the slope of the penalised squared error at the model's coefficients.
+
+    Features count in deviations, as the penalty does. All slopes are zero at the minimum.
+    """
+    weights = [float(w) for w in model.coefficients]
+    x = vector_to_array("features")
+    error = F.col("prediction") - F.col(target)
+    parts = [(F.covar_pop(x[j], error), F.stddev_samp(x[j])) for j in range(len(weights))]
+    penalty = model.getRegParam()
+    slopes = [
+        F.struct(F.lit(j).alias("position"), (F.try_divide(c, d) + F.lit(penalty * w) * d / F.stddev_samp(target)).alias("slope"))
+        for j, ((c, d), w) in enumerate(zip(parts, weights))
+    ]
+    return train.agg(F.explode(F.array(*slopes)).alias("s")).select("s.*")
+
+
 def fare_metrics(scored: DataFrame, digits: int = 4) -> DataFrame:
     return regression_metrics(scored, FARE_TARGET, digits=digits)
 

@@ -678,6 +678,63 @@ def lr_metrics(spark, folder):
     return models.fare_metrics(scored)
 
 
+@query
+def lr_slopes(spark, folder):
+    """The fare model is at the minimum of its ridge equations: all slopes round to zero."""
+    model, fitted, _ = models.fit_fare_parts(_workspace(spark, folder).inputs)
+    found = models.ridge_slopes(model, fitted)
+    return found.withColumn("slope", F.round("slope", 4) + F.lit(0.0))
+
+
+@query
+def rf_decisions(spark, folder):
+    """A forest decides for the class whose probability exceeds a half; label counts beside it."""
+    scored = _workspace(spark, folder).scored()
+    likely = vector_to_array("probability")[1]
+    return scored.groupBy(LABEL).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_if((F.col("prediction") == 1.0) != (likely > 0.5)).alias("other_way"),
+        F.count_if(F.abs(F.col("confidence") - F.round(likely, 4)) > 1e-9).alias("other_confidence"),
+    )
+
+
+@query
+def rf_importance_total(spark, folder):
+    """Importances of all positions: as many as the vector has, and one in total."""
+    space = _workspace(spark, folder)
+    names = features.slot_names(space.prepared.stages, space.inputs)
+    every = models.feature_importances(spark, space.model(), names, top=len(names))
+    return every.agg(
+        F.count_distinct("feature").alias("features"), F.round(F.sum("importance"), 6).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+    )
+
+
+@query
+def rf_metrics_from_files(spark, folder):
+    """Accuracy of a written prediction file against the metrics table."""
+    path = writers.write_predictions(_workspace(spark, folder).scored(), scratch.fresh_path(spark, "predictions"))
+    share = F.round(F.avg((F.col("prediction") == F.col(LABEL)).cast("int")), 4)
+    counted = spark.read.parquet(path).agg(share.alias("counted"))
+    told = models.classifier_metrics(_workspace(spark, folder).scored()).filter("metric = 'accuracy'")
+    return told.withColumn("counted", counted.scalar()).select("metric", (F.col("value") - F.col("counted")).alias("difference"))
+
+
+@query
+def request_inputs(spark, folder):
+    """What the feature stages get of a request: constants and derived fields beside its own."""
+    valid, _ = rules.quarantine(_requests(spark, folder), rules.request_rules())
+    wide = scoring.request_features(valid)
+    return wide.select(*TRIP_KEYS, "mta_tax", "extra", "tolls_amount", "store_and_fwd_flag", "is_weekend", "time_of_day")
+
+
+@query
+def cv_leaderboard_shape(spark, folder):
+    """Every combination of the grid, each with an area between 0 and 1."""
+    board = models.leaderboard(spark, _tuned(spark, folder))
+    return board.select("trees", "depth", "least_rows", F.col("auc").between(0.0, 1.0).alias("possible"))
+
+
 @query
 def cv_leaderboard(spark, folder):
     return models.leaderboard(spark, _tuned(spark, folder))

