@@ -26,7 +26,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
+from functools import lru_cache
 
 import pandas as pd
 import zstandard
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 SAMPLE = 2500
 FOLDS = 4
-LONGEST = 1 << 16
+LONGEST = 1 << 15
 TOXIC_BYTES = 2048
 ORDINARY_BYTES = 1 << 16
 LEVEL = 19
@@ -45,7 +45,7 @@ CUT = 0.7
 COSTS = (0, 1, 2, 3, 4)
 GAINS = (3, 4, 5, 6)
 STEPS = (1, 2, 3, 5)
-MEMO = 500_000
+MEMO = 300_000
 
 # Bytes that no text holds, so the carriers match only each other.
 BEFORE = bytes(range(0xF8, 0x100)) + bytes(range(1, 9)) + bytes(range(0xF8, 0x100))
@@ -185,7 +185,7 @@ def fit(rows: list[tuple[str, int]], folds: int = FOLDS) -> Model | None:
     return Model(*contents, cost, gain, table)
 
 
-@cache
+@lru_cache(maxsize=1)
 def _meter(toxic: bytes, ordinary: bytes) -> Meter:
     return Meter(toxic, ordinary)
 
