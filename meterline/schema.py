@@ -145,7 +145,7 @@ REQUEST_CONSTANTS = {
     "airport_fee": 0.0,
 }
 
-# --- Thresholds --------------------------------------------------------------
+# --- Fixed values: thresholds -------------------------------------------------
 
 
 @dataclass(frozen=True)
