@@ -61,9 +61,10 @@ class WaveletMatrix:
         now = symbols.astype(np.uint16 if width <= 16 else np.uint32)
         planes = []
         for level in range(width - 1, -1, -1):
-            bits = (now >> now.dtype.type(level)) & now.dtype.type(1) == 1
+            bits = (now & now.dtype.type(1 << level)) != 0
             planes.append(BitPlane.of(bits))
-            now = np.concatenate((now[~bits], now[bits]))
+            # Taking by places is some times faster than taking by mask.
+            now = np.concatenate((now[np.flatnonzero(~bits)], now[np.flatnonzero(bits)]))
         return cls(planes, len(symbols))
 
     def _bit(self, level: int, symbols: np.ndarray) -> np.ndarray:
@@ -117,8 +118,8 @@ class WaveletMatrix:
             bits = self.planes[level].bits()
             above = np.empty_like(now)
             zeros = self.zeros[level]
-            above[~bits] = now[:zeros]
-            above[bits] = now[zeros:] | kind(1 << (self.width - 1 - level))
+            above[np.flatnonzero(~bits)] = now[:zeros]
+            above[np.flatnonzero(bits)] = now[zeros:] | kind(1 << (self.width - 1 - level))
             now = above
         return now
 
