@@ -176,8 +176,9 @@ class Weights:
 def _step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     """One adaptive gradient step: slopes summed by weight row, scaled by what the row has seen."""
     for k in range(rows.shape[1]):
-        order = np.argsort(rows[:, k], kind="stable")
-        sorted_rows = rows[order, k]
+        column = rows[:, k].astype(np.uint16)  # short numbers are sorted by digits
+        order = np.argsort(column, kind="stable")
+        sorted_rows = column[order].astype(np.int64)
         starts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
         total = np.add.reduceat(slope[order], starts, axis=0)
         at = sorted_rows[starts]
