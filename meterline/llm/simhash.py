@@ -18,12 +18,13 @@ empty table gives an empty result; other columns are ignored, whatever their nam
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.llm.links import roots
@@ -56,14 +57,17 @@ def fingerprint(text: str | None, words_per_shingle: int = SHINGLE_WORDS) -> int
     return int(bits.view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp), one row per document."""
-
+def _print(text: Column, words: int) -> Column:
     def prints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             yield pd.Series([fingerprint(t, words) for t in texts], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.pandas_udf(prints, "long")(F.col(text_col)).alias("fp"))
+    return F.pandas_udf(prints, "long")(text)
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
+    """(doc_id, fp), one row per document."""
+    return docs.select(F.col(id_col).alias("doc_id"), _print(F.col(text_col), words).alias("fp"))
 
 
 def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
@@ -86,17 +90,22 @@ def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
     return found.filter(close & once).select("a", "b")
 
 
+def _rooted(rows: DataFrame, least: Column, bits: int) -> DataFrame:
+    """(fp, least, root) per fingerprint of rows: the least of its rows, and its component's fingerprint."""
+    nodes = rows.groupBy("fp").agg(F.min(least).alias("least"))
+    root = roots(links(nodes.select("fp"), bits))
+    return nodes.join(root.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id (least id reachable)."""
     spark = docs.sparkSession
     path = fresh_path(spark, "fingerprints")
     fingerprints(docs, id_col, text_col, words).write.parquet(path)
     rows = spark.read.parquet(path)
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    root = roots(links(nodes.select("fp"), bits))
-    rooted = nodes.join(root.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(rows, F.col("doc_id"), bits)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     by_print = rooted.join(names, "root").select("fp", "component_id")
     return rows.join(by_print, "fp").select(
@@ -105,8 +114,16 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, bits: int = MAX_BITS) -> DataFrame:
-    """Of each component the document with the least id; of rows that repeat it, one."""
-    found = components(docs, id_col, text_col, words, bits)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stay")).distinct()
-    kept = docs.join(stay, docs[id_col].eqNullSafe(stay["stay"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+    """Of each component one row: the least id, a null one last; of rows that repeat it, the least by a hash of the row."""
+    spark = docs.sparkSession
+    path, where = fresh_path(spark, "documents"), fresh_path(spark, "fingerprints")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    # Written once, so a row has one key however often the table is read.
+    docs.select(F.struct("*").alias("doc"), F.xxhash64(*hashed).alias("turn"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
+    held = spark.read.parquet(path)
+    held.select(
+        F.col(f"doc.`{id_col}`").alias("doc_id"), "turn", "row", _print(F.col(f"doc.`{text_col}`"), words).alias("fp")
+    ).write.parquet(where)
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "turn", "row")
+    first = _rooted(spark.read.parquet(where), order, bits).groupBy("root").agg(F.min("least").alias("first"))
+    return held.join(first.select(F.col("first.row").alias("row")), "row", "left_semi").select("doc.*")

@@ -90,6 +90,17 @@ def test_one_of_each_group_stays(make_docs):
     assert ids.count(5) == 0 and ids.count(4) == 1 and 400 in ids and 401 not in ids and 1 in ids and 2 not in ids
 
 
+def test_one_row_of_each_component_stays_whatever_its_id(make_docs):
+    first, second, third, other = (prose(900 + i, 40) for i in range(4))
+    rows = [(None, first), (None, second), (None, third), (None, third), (5, first), (7, other), (7, second), (8, second), (9, other)]
+    kept = simhash.keep_one(make_docs(*rows))
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(5, first), (7, other), (7, second), (None, third)], key=str
+    )
+    again = simhash.keep_one(make_docs(*rows[::-1]).repartition(3))
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
+
+
 def test_no_rows(make_docs):
     df = make_docs(*ODD).limit(0)
     assert simhash.components(df).count() == 0 and simhash.keep_one(df).count() == 0
