@@ -13,8 +13,9 @@ is sent to the tasks is bounded however large the benchmark is; each block is se
 every shard.
 
 Defined cases: a null text, in either table, has no words; an item of fewer words than a
-window is one window, one without words none; items that repeat count by their id; rows
-that repeat a document id give a row each; empty tables give rows without hits, or no
+window is one window, one without words none; items that repeat count by their id; items
+without an id are searched only where ``unnamed`` is set, as the query and the pipeline do, and
+then stand in ``items`` as one null; rows that repeat a document id give a row each; empty tables give rows without hits, or no
 rows; other columns are ignored, whatever their names.
 """
 
@@ -203,17 +204,23 @@ def windows(item: str | None, window: int = WINDOW) -> list[tuple[bytes, ...]]:
     return [tuple(found[i : i + window]) for i in range(max(1, len(found) - window + 1))]
 
 
-def window_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block: int) -> Iterator[dict[int, tuple[np.ndarray, list[list[str]]]]]:
+def window_blocks(
+    benchmark: DataFrame, id_col: str, text_col: str, window: int, block: int, unnamed: bool = False
+) -> Iterator[dict[int, tuple[np.ndarray, list[list[str | None]]]]]:
     """Blocks of distinct windows with the items they occur in, by number of words."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            rows = [(b" ".join(w), str(i)) for i, t in zip(frame["item_id"], frame["body"]) for w in set(windows(t, window))]
+            rows = [(b" ".join(w), None if pd.isna(i) else str(i)) for i, t in zip(frame["item_id"], frame["body"]) for w in set(windows(t, window))]
             yield pd.DataFrame(rows, columns=["phrase", "item"])
 
-    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("body")).filter("item_id IS NOT NULL")
+    items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("body"))
+    items = items if unnamed else items.filter("item_id IS NOT NULL")
     spark, path = benchmark.sparkSession, fresh_path(benchmark.sparkSession, "windows")
-    phrases = items.mapInPandas(cut, "phrase binary, item string").groupBy("phrase").agg(F.collect_set("item").alias("items"))
+    phrases = items.mapInPandas(cut, "phrase binary, item string").groupBy("phrase").agg(
+        F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("nameless")
+    )
+    phrases = phrases.select("phrase", F.when(F.col("nameless"), F.array_append("items", F.lit(None))).otherwise(F.col("items")).alias("items"))
     phrases.write.parquet(path)
     stored = spark.read.parquet(path)
     count = max(1, -(-stored.count() // block))
@@ -237,7 +244,7 @@ def merge(firsts: np.ndarray, stops: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(firsts[begins].tolist(), stops[last].tolist()))
 
 
-def search(spark: SparkSession, path: str, block: dict[int, tuple[np.ndarray, list[list[str]]]]) -> DataFrame:
+def search(spark: SparkSession, path: str, block: dict[int, tuple[np.ndarray, list[list[str | None]]]]) -> DataFrame:
     """Per document with hits: shard, ordinal, merged word spans, and the items hit."""
     sent = spark.sparkContext.broadcast(block)
 
@@ -247,7 +254,7 @@ def search(spark: SparkSession, path: str, block: dict[int, tuple[np.ndarray, li
                 index = FMIndex.from_bytes(row.index)
                 starts = np.frombuffer(row.starts, dtype="<i8")
                 found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-                items: list[list[str]] = []
+                items: list[list[str | None]] = []
                 for size, (texts, ids) in sent.value.items():
                     number = index.number.get
                     patterns = np.array([[number(w, 0) for w in t] for t in texts], dtype=np.int64).reshape(len(texts), size)
@@ -268,7 +275,7 @@ def search(spark: SparkSession, path: str, block: dict[int, tuple[np.ndarray, li
                 for group in np.split(order, edges[1:]):
                     d = int(doc[group[0]])
                     spans = merge(at[group] - starts[d], stop[group] - starts[d])
-                    names = sorted({i for w in np.unique(which[group]) for i in items[w]})
+                    names = sorted({i for w in np.unique(which[group]) for i in items[w]}, key=lambda i: (i is None, i))
                     out.append((row.shard, d, [{"first": a, "stop": b} for a, b in spans], names))
                 yield pd.DataFrame(out, columns=["shard", "ordinal", "spans", "items"])
 
@@ -287,13 +294,13 @@ def _documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", window: int = WINDOW, block: int = BLOCK, shard: int = SHARD,
+    item_text_col: str = "text", window: int = WINDOW, block: int = BLOCK, shard: int = SHARD, unnamed: bool = False,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, spans (disjoint, in words), items, contaminated."""
     spark = docs.sparkSession
     path, where = fresh_path(spark, "index"), fresh_path(spark, "hits")
     write_index(docs, path, id_col, text_col, shard)
-    for part in window_blocks(benchmark, item_col, item_text_col, window, block):
+    for part in window_blocks(benchmark, item_col, item_text_col, window, block, unnamed):
         search(spark, path, part).write.mode("append").parquet(where)
     hits = spark.read.schema(HITS).parquet(where).groupBy("shard", "ordinal").agg(
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
@@ -332,7 +339,9 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", unnamed: bool = False
+) -> DataFrame:
     """The documents that are not contaminated; rows that repeat an id go or stay together."""
-    found = contamination(docs, benchmark, id_col, text_col).filter("contaminated").select(F.col("doc_id").alias("gone")).distinct()
+    found = contamination(docs, benchmark, id_col, text_col, unnamed=unnamed).filter("contaminated").select(F.col("doc_id").alias("gone")).distinct()
     return docs.join(found, docs[id_col].eqNullSafe(found["gone"]), "left_anti")

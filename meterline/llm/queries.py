@@ -90,7 +90,7 @@ def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Per document, how much of it is benchmark text."""
-    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    found = decontaminate.contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), unnamed=True)
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",

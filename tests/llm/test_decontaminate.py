@@ -8,7 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from odd_rows import ODD, prose
 
+import corpus_pipeline
+from compare import connect, differences
 from meterline.llm import decontaminate as dc
+from meterline.llm import queries
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 
@@ -82,6 +85,25 @@ def test_clean_documents_stay(spark, make_docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(i or 0 for i, _ in DOCS if i not in gone)
 
 
+def test_items_without_an_id_are_searched(spark, make_docs, tmp_path):
+    items = [*ITEMS, (None, prose(52, 20)), (7, prose(51, 13))]
+    docs = [*DOCS, (30, prose(64, 20) + " " + prose(52, 20)), (31, "one " + prose(50, 40))]
+    made = make_docs(*docs)
+    made.write.parquet(str(tmp_path / "documents.parquet"))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    want = plain(docs, items)
+    got = dc.contamination(made, bench, block=7, shard=64, unnamed=True).collect()
+    told = sorted(((r.doc_id, r.n_words, r.n_hit, sorted(map(str, r.items)), r.contaminated) for r in got), key=str)
+    assert told == want
+    found = queries.op7_decontaminate(spark, str(tmp_path))
+    assert {r.doc_id: (r.n_hit, r.n_items) for r in found.collect()}[30] == (20, 1)
+    assert differences(found, connect(str(tmp_path)), queries.OP7_SQL) == []
+    gone = {i for i, *_, bad in want if bad}
+    kept = corpus_pipeline.clean(spark, made, str(tmp_path))
+    assert {4, 5, 30, 31} <= gone and sorted(r.doc_id or 0 for r in kept.collect()) == sorted(i or 0 for i, _ in docs if i not in gone)
+
+
 def test_cutting_spans():
     assert dc.without_spans("A b, c; d e!", [(1, 3)]) == "A ; d e!"
     assert dc.without_spans("a b c", [(0, 1), (2, 3)]) == " b "
