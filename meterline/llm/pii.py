@@ -10,9 +10,10 @@ graph of patterns and instances is scored over all documents:
 * a pattern's confidence is the mean score of what it introduces, weighted by tokens and
   drawn towards zero by ``PRIOR`` tokens that never were seeds;
 * an instance's next score is the larger of its start and the weighted mean confidence of
-  its patterns, damped.
+  its patterns, damped; what a confident pattern with enough distinct instances introduces
+  scores 1, as a seed does, and so leads to further patterns.
 
-After ``ROUNDS`` rounds, the tokens that a confident pattern with enough distinct
+After ``ROUNDS`` rounds without a new such pattern, the tokens that a confident pattern with enough distinct
 instances introduces are reported as kind ``found`` if no plain match covers them and none that
 failed its check does: a number that a card pattern matches but whose digits do not add up
 is known not to be one, whatever stands before it.
@@ -125,23 +126,32 @@ def confident_patterns(
 
     seen = found.select(F.explode("tokens").alias("t")).select("t.*")
     edges = kept(
-        seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds")),
+        seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds"), F.min("refused").alias("refused")),
         "edges",
     )
     starts = edges.groupBy("instance").agg((F.sum("seeds") / F.sum("n")).alias("start"))
     scored = edges.join(starts, "instance").withColumn("score", F.col("start"))
-    for _ in range(rounds):
+    good = (F.col("confidence") >= confident) & (F.col("instances") >= least)
+    count = quiet = 0
+    while quiet < rounds:
+        # Scores never fall, so a good pattern stays one and the rounds end.
         scored = kept(scored, "scored")
         patterns = scored.groupBy("pattern").agg(
             (F.sum(F.col("n") * F.col("score")) / (F.sum("n") + PRIOR)).alias("confidence"),
             F.count(F.lit(1)).alias("instances"),
         )
+        patterns = kept(patterns.withColumn("good", good), "patterns")
+        before, count = count, patterns.filter("good").count()
+        quiet = quiet + 1 if count == before else 0
         judged = scored.join(patterns, "pattern")
         fresh = judged.groupBy("instance").agg(
-            F.greatest(F.first("start"), DAMPING * F.sum(F.col("n") * F.col("confidence")) / F.sum("n")).alias("score")
+            F.greatest(
+                F.first("start"), DAMPING * F.sum(F.col("n") * F.col("confidence")) / F.sum("n"),
+                F.max(F.col("good") & ~F.col("refused")).cast("double"),
+            ).alias("score")
         )
         scored = scored.drop("score").join(fresh, "instance")
-    return patterns.filter((F.col("confidence") >= confident) & (F.col("instances") >= least)).select("pattern", "confidence")
+    return patterns.filter("good").select("pattern", "confidence")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

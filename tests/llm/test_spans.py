@@ -110,6 +110,16 @@ def test_personal_data(make_docs):
     assert spans[200] == "found:22:32" and spans[201] == "" and spans[202] == ""
 
 
+def test_found_identifiers_lead_to_further_contexts(make_docs):
+    rows = [(i, f"write to contact desk user{i}@mail.example now") for i in range(20)]
+    rows += [(100 + i, f"write to contact desk handle_{i}x now") for i in range(5)]
+    rows += [(200 + i, f"signed by member handle_{i}x today") for i in range(5)]
+    rows += [(300, "signed by member handle_99z today"), (301, "was in room handle_98z today")]
+    spans = {r.doc_id: r.spans for r in pii.report(pii.scan(make_docs(*rows))).collect()}
+    assert spans[100] == "found:22:31" and spans[200] == "found:17:26"
+    assert spans[300] == "found:17:27" and spans[301] == ""
+
+
 @pytest.mark.parametrize("scan", [secrets.scan, pii.scan])
 def test_no_rows_and_native_plans(make_docs, spark, small, scan):
     from compare import plan_text
