@@ -14,9 +14,11 @@ graph of patterns and instances is scored over all documents:
   scores 1, as a seed does, and so leads to further patterns.
 
 After ``ROUNDS`` rounds without a new such pattern, the tokens that a confident pattern with enough distinct
-instances introduces are reported as kind ``found`` if no plain match covers them and none that
-failed its check does: a number that a card pattern matches but whose digits do not add up
-is known not to be one, whatever stands before it.
+instances introduces are reported as kind ``found`` if no plain match covers them. A token that as a
+whole matches a plain kind and fails its check (a card number whose digits do not add up) is
+known not to be of that kind, and is reported only after a pattern that introduces several such
+tokens and whose seeds are mostly of other kinds. A failed match in a part of a token says
+nothing about the token.
 
 Both steps of a round group by pattern or by instance, combined inside tasks first, and
 work on edges that carry counts, so a pattern as common as any costs one row per instance.
@@ -60,6 +62,9 @@ LEAST_INSTANCES = 3
 TAG = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
+NOT_REFUSED = "(failed IS NULL OR array_contains(allowed, failed))"
+
+
 def luhn(text: Column) -> Column:
     """Whether the digits of a text pass the Luhn check."""
     digits = F.reverse(F.filter(F.split(text, ""), lambda c: c.between("0", "9")))
@@ -75,7 +80,8 @@ def _digits(value: Column) -> Column:
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, row_id (of id and text), the places of the four kinds, and
-    tokens, an array of (start, end, instance, pattern, seed, refused)."""
+    tokens, an array of (start, end, instance, pattern, seed, kind, failed): the kind that
+    covers a part of it, and the kind whose failed match covers all of it."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("row_id", F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), "text")))
@@ -100,12 +106,13 @@ def _tokens(tokens: Column, base: Column, tried: Column) -> Column:
         value = F.regexp_replace(t["value"], r"[.:!?]+$", "")
         left = F.lower(F.regexp_extract(t["left"], LEFT_WORDS, 1))
         end = t["start"] + F.length(value)
-        seed, refused = (
-            F.exists(all_spans[k], lambda b: (b["start"] < end) & (t["start"] < b["end"])) for k in ("base", "tried")
-        )
+        met = F.filter(all_spans["base"], lambda b: (b["start"] < end) & (t["start"] < b["end"]))
+        within = F.filter(all_spans["tried"], lambda b: (b["start"] <= t["start"]) & (end <= b["end"]))
+        kind, failed = (F.try_element_at(x, F.lit(1))["kind"] for x in (met, within))
         return F.struct(
             t["start"].alias("start"), end.alias("end"), value.alias("instance"),
-            F.regexp_replace(left, r"\s+", " ").alias("pattern"), seed.alias("seed"), (refused & ~seed).alias("refused"),
+            F.regexp_replace(left, r"\s+", " ").alias("pattern"), kind.isNotNull().alias("seed"), kind.alias("kind"),
+            F.when(kind.isNull(), failed).alias("failed"),
         )
 
     told = F.filter(tokens, lambda t: F.length(t["value"]) >= LEAST_LENGTH)
@@ -116,7 +123,8 @@ def _tokens(tokens: Column, base: Column, tried: Column) -> Column:
 def confident_patterns(
     found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, least: int = LEAST_INSTANCES
 ) -> DataFrame:
-    """(pattern, confidence) of the patterns whose tokens are to be reported."""
+    """(pattern, confidence, allowed) of the patterns whose tokens are to be reported, even those
+    that failed as one of the kinds allowed."""
     spark = found.sparkSession
 
     def kept(frame: DataFrame, name: str) -> DataFrame:
@@ -126,11 +134,23 @@ def confident_patterns(
 
     seen = found.select(F.explode("tokens").alias("t")).select("t.*")
     edges = kept(
-        seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds"), F.min("refused").alias("refused")),
+        seen.groupBy("pattern", "instance").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("seed").cast("long")).alias("seeds"), F.max("kind").alias("kind"), F.max("failed").alias("failed")),
         "edges",
     )
     starts = edges.groupBy("instance").agg((F.sum("seeds") / F.sum("n")).alias("start"))
     scored = edges.join(starts, "instance").withColumn("score", F.col("start"))
+    allowed = F.array_compact(
+        F.array(
+            *[
+                F.when(
+                    (F.count_if(F.col("failed") == k) >= least)
+                    & (2 * F.sum(F.when(F.col("kind") == k, F.col("seeds")).otherwise(0)) <= F.sum("seeds")),
+                    F.lit(k),
+                )
+                for k in BASE
+            ]
+        )
+    )
     good = (F.col("confidence") >= confident) & (F.col("instances") >= least)
     count = quiet = 0
     while quiet < rounds:
@@ -138,7 +158,7 @@ def confident_patterns(
         scored = kept(scored, "scored")
         patterns = scored.groupBy("pattern").agg(
             (F.sum(F.col("n") * F.col("score")) / (F.sum("n") + PRIOR)).alias("confidence"),
-            F.count(F.lit(1)).alias("instances"),
+            F.count(F.lit(1)).alias("instances"), allowed.alias("allowed"),
         )
         patterns = kept(patterns.withColumn("good", good), "patterns")
         before, count = count, patterns.filter("good").count()
@@ -147,11 +167,11 @@ def confident_patterns(
         fresh = judged.groupBy("instance").agg(
             F.greatest(
                 F.first("start"), DAMPING * F.sum(F.col("n") * F.col("confidence")) / F.sum("n"),
-                F.max(F.col("good") & ~F.col("refused")).cast("double"),
+                F.max(F.col("good") & F.expr(NOT_REFUSED)).cast("double"),
             ).alias("score")
         )
         scored = scored.drop("score").join(fresh, "instance")
-    return patterns.filter("good").select("pattern", "confidence")
+    return patterns.filter("good").select("pattern", "confidence", "allowed")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -161,9 +181,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     path = fresh_path(spark, "mentions")
     mentions(docs, id_col, text_col).write.parquet(path)
     found = spark.read.parquet(path)
-    unseen = found.select("row_id", F.explode("tokens").alias("t")).select("row_id", "t.*").filter("NOT seed AND NOT refused").distinct()
+    unseen = found.select("row_id", F.explode("tokens").alias("t")).select("row_id", "t.*").filter("NOT seed").distinct()
     more = (
         unseen.join(confident_patterns(found), "pattern")
+        .filter(NOT_REFUSED)
         .groupBy("row_id")
         .agg(
             F.collect_list(

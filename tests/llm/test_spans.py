@@ -120,6 +120,21 @@ def test_found_identifiers_lead_to_further_contexts(make_docs):
     assert spans[300] == "found:17:27" and spans[301] == ""
 
 
+def test_failed_checks_refuse_only_their_own_kind(make_docs):
+    rows = [(i, f"write to contact desk user{i}@mail.example now") for i in range(20)]
+    rows += [(100, "write to contact desk DE89370400440532013000 now")]
+    rows += [(200 + i, f"write to contact desk 700000000000{i} now") for i in (0, 1, 2, 4)]
+    rows += [(300 + i, f"pay with card 411111111111111{1 if i < 12 else i - 10} now") for i in range(16)]
+    spans = {r.doc_id: r.spans for r in pii.report(pii.scan(make_docs(*rows))).collect()}
+    assert spans[100] == "found:22:44"
+    for i, t in rows:
+        number = t.split()[-2]
+        if 200 <= i < 300 and not luhn(number):
+            assert spans[i] == "found:22:35"
+        if i >= 300 and not luhn(number):
+            assert spans[i] == ""
+
+
 @pytest.mark.parametrize("scan", [secrets.scan, pii.scan])
 def test_no_rows_and_native_plans(make_docs, spark, small, scan):
     from compare import plan_text
