@@ -405,9 +405,9 @@ def dropped_columns(spark, folder):
     """What a union of three files, two of one month, leaves out: a column one file lacks."""
     orders = table(spark, folder, "orders")
     place = scratch.fresh_path(spark, "folders")
-    writers.write_table(orders.filter("o_orderkey % 2 = 0").coalesce(1), f"{place}/orders_1994-12.parquet")
-    orders.filter("o_orderkey % 2 = 1").drop("o_orderpriority").coalesce(1).write.mode("append").parquet(f"{place}/orders_1994-12.parquet")
-    writers.write_table(orders.withColumn("only_here", F.lit(1)).coalesce(1), f"{place}/orders_1995-01.parquet")
+    writers.write_table(orders.filter("o_orderkey % 2 = 0"), f"{place}/orders_1994-12.parquet")
+    orders.filter("o_orderkey % 2 = 1").drop("o_orderpriority").write.mode("append").parquet(f"{place}/orders_1994-12.parquet")
+    writers.write_table(orders.withColumn("only_here", F.lit(1)), f"{place}/orders_1995-01.parquet")
     union, report = readers.read_months(spark, [f"{place}/orders_1994-12.parquet", f"{place}/orders_1995-01.parquet"])
     left = {c for columns in report.dropped.values() for c in columns}
     return union.groupBy(MONTH).agg(

@@ -37,3 +37,14 @@ def test_query_runs(spark, small, name):
 def test_plans_stay_in_the_jvm_without_cartesian_products(spark, small, name):
     plan = plan_text(contract.queries()[name](spark, small))
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_dropped_columns_writes_by_many_tasks(spark, small, tmp_path, monkeypatch):
+    from meterline.plans import catalog
+
+    spark.read.parquet(f"{small}/orders.parquet").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(catalog.scratch, "fresh_path", lambda spark, name: str(tmp_path / name))
+    rows = sorted(tuple(r) for r in catalog.dropped_columns(spark, str(tmp_path)).collect())
+    assert len(list((tmp_path / "folders/orders_1995-01.parquet").glob("part-*"))) > 1
+    monkeypatch.undo()
+    assert rows == sorted(tuple(r) for r in catalog.dropped_columns(spark, small).collect())
