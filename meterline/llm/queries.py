@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, exact_dedup, maxent, mixing, pii, secrets, simhash, token_files, toxicity, warc
+from meterline.llm import decontaminate, exact_dedup, maxent, mixing, periodic, pii, secrets, simhash, token_files, toxicity, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -139,9 +139,24 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(pii.scan(_table(spark, folder, "documents")))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, the periodic runs of its words and the text without their repetitions."""
+    found = periodic.find_runs(periodic.planted(_table(spark, folder, "documents")))
+    best = periodic.longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
-    found = (op1_toxicity, op2_secrets, op3_exact_dedup, op4_warc, op5_maxent, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing, op10_pii)
+    found = (
+        op1_toxicity, op2_secrets, op3_exact_dedup, op4_warc, op5_maxent, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing,
+        op10_pii, op11_periodic_runs,
+    )
     return {f.__name__: f for f in found}
 
 

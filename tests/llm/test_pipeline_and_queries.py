@@ -13,7 +13,7 @@ def test_query_agrees_with_sql(spark, small, name):
     assert differences(df, connect(small), queries.statements()[name]) == []
 
 
-def test_ten_operators():
+def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.registered())
     assert numbers == list(range(1, 11))
 
