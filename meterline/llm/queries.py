@@ -9,7 +9,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import decontaminate, exact_dedup, maxent, mixing, periodic, pii, secrets, simhash, token_files, toxicity, warc
+from meterline.llm import (
+    align, decontaminate, exact_dedup, maxent, mixing, periodic, pii, secrets, simhash, token_files, toxicity, vector_forest, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -151,11 +153,22 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_align(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document, the groups of its tokens in two tokenizers and how common their links are."""
+    found = align.align(_table(spark, folder, "documents"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_vector_forest(spark: SparkSession, folder: str) -> DataFrame:
+    """Per vector, its near copies and their component."""
+    return vector_forest.near_copies(_table(spark, folder, "embeddings"))
+
+
 def registered() -> dict[str, Query]:
     """Every query of this folder by name."""
     found = (
         op1_toxicity, op2_secrets, op3_exact_dedup, op4_warc, op5_maxent, op6_simhash, op7_decontaminate, op8_token_files, op9_mixing,
-        op10_pii, op11_periodic_runs,
+        op10_pii, op11_periodic_runs, op12_align, op13_vector_forest,
     )
     return {f.__name__: f for f in found}
 

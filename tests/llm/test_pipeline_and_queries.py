@@ -15,7 +15,7 @@ def test_query_agrees_with_sql(spark, small, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.registered())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_take_effect(spark, small):
