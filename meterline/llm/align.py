@@ -29,7 +29,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -48,11 +48,13 @@ from meterline.scratch import fresh_path
 BYTE_VOCABULARY = "byte_bpe_50k.json"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
 LED = "▁"  # how a vocabulary of pieces spells a blank
-MEMO = 400_000
+MEMO = 600_000
 TOGETHER = 128
 CHARACTERS = 1 << 20  # of text aligned at a time
 BLOCK = 1 << 22  # links of a block
 
+BEFORE, BEHIND = ("a", "1", ".", "'", "\t", "\n", "\0", "\xa0", "é", "字", "🙂"), ("a", "1", ".", "'s", "\0", "é", "字", "🙂")
+
 NUMBERS = ["n_a", "n_b", "n_groups", "n_links"]
 BLOCKS = "block long, docs int, doc_ids binary, numbers binary, groups binary, entries binary, codes binary, times binary, pairs binary, holders binary"
 ROWS = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
@@ -99,21 +101,27 @@ class Vocabulary:
         """Encode new pieces together; a token that begins with a blank begins a piece."""
         joined = [" ".join(pieces[i : i + TOGETHER]) for i in range(0, len(pieces), TOGETHER)]
         found = self.encode(joined)
-        flat = np.array([i for ids in found for i in ids], dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(found), dtype=np.int64)
         starts = np.flatnonzero(self.leads[flat]) if len(flat) else flat
-        if len(starts) != len(pieces):  # a piece that spells a blank of the vocabulary itself
+        exact = np.zeros(len(pieces), dtype=bool)
+        if len(starts) == len(pieces):
+            sizes = np.diff(np.append(starts, len(flat)))
+            # A text has as many blanks as pieces, so if it is spelled right each of them is.
+            good = [self.spells(ids, t) for ids, t in zip(found, joined)]
+            exact = np.repeat(good, TOGETHER)[: len(pieces)]
+        else:  # a piece that spells a blank of the vocabulary itself
             found = self.encode(pieces)
-            flat = np.array([i for ids in found for i in ids], dtype=np.int64)
+            flat = np.fromiter(chain.from_iterable(found), dtype=np.int64)
             sizes = np.array([len(ids) for ids in found], dtype=np.int64)
             starts = np.cumsum(sizes) - sizes
-        else:
-            sizes = np.diff(np.append(starts, len(flat)))
-        plain = flat.tolist()
-        exact = [self.spells(plain[s : s + n], p) for p, s, n in zip(pieces, starts.tolist(), sizes.tolist())]
+        if not exact.all():
+            plain = flat.tolist()
+            for i in np.flatnonzero(~exact).tolist():
+                exact[i] = self.spells(plain[starts[i] : starts[i] + sizes[i]], pieces[i])
         self.starts = np.concatenate((self.starts, len(self.ids) + starts))
         self.ids = np.concatenate((self.ids, flat))
         self.sizes = np.concatenate((self.sizes, sizes))
-        self.exact = np.concatenate((self.exact, np.array(exact, dtype=bool)))
+        self.exact = np.concatenate((self.exact, exact))
 
 
 class Bytes(Vocabulary):
@@ -127,7 +135,10 @@ class Bytes(Vocabulary):
         by_id = dict(entries)
         names = [by_id.get(i, "") for i in range(entries[-1][0] + 1)]
         spelled = [bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t in names]
-        super().__init__(spelled, [t.startswith(BLANK) for t in names], any(BLANK in t.lstrip(BLANK) for t in names))
+        # Texts are split before tokens are formed: does a blank before something visible always begin a part?
+        parts = [[p for p, _ in self.tool.pre_tokenizer.pre_tokenize_str(a + " " + b)] for a in BEFORE for b in BEHIND]
+        joins = any(not any(p.startswith(BLANK) for p in found[1:]) for found in parts)
+        super().__init__(spelled, [t.startswith(BLANK) for t in names], joins)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tool.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
@@ -247,7 +258,7 @@ class Aligner:
             split = [texts[i].split(" ") for i in cut]
             counts = np.array([len(s) for s in split], dtype=np.int64)
             before = len(self.known)
-            which = np.fromiter((self.known[p] for s in split for p in s), dtype=np.int64, count=int(counts.sum()))
+            which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64, count=int(counts.sum()))
             if len(self.known) > before:
                 new = list(islice(self.known, before, None))
                 self.a.learn(new)
