@@ -7,52 +7,11 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A value is counted in units of 1e-8. The count is summed in two parts of which
-# neither can overflow a long before some 10^12 rows, so the sum needs no wide
-# decimals and does not depend on the order of the rows.
-_UNITS = "1e8D"
-_LOW_BITS = 20
-
-# What the units can express: nothing, or a size between these bounds.
-_LEAST, _MOST = "1e-4D", "9e10D"
-
 
 def _as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def _fits(name: str) -> str:
-    """Whether the units express a value; not for NaN, infinities, and the very large or small."""
-    size = f"abs(`{name}`)"
-    return f"({size} = 0D OR ({size} >= {_LEAST} AND {size} <= {_MOST}))"
-
-
-def exact_sum(name: str) -> Column:
-    """Sum of a double column, exact to eight decimals and independent of row order.
-
-    Where some value is NaN, infinite, beyond 9e10 or so small that the units would lose it,
-    the result is Spark's own ``sum``, with or without ANSI arithmetic.
-    """
-    units = f"CASE WHEN {_fits(name)} THEN CAST(rint(`{name}` * {_UNITS}) AS BIGINT) END"
-    block = 1 << _LOW_BITS
-    return F.expr(
-        f"CASE WHEN coalesce(bool_and({_fits(name)}), true) THEN"
-        f" CAST(CAST(sum(shiftright({units}, {_LOW_BITS})) AS DECIMAL(19, 0)) * {block}"
-        f" + CAST(sum({units} & {block - 1}L) AS DECIMAL(19, 0)) AS DOUBLE) / {_UNITS}"
-        f" ELSE sum(CAST(`{name}` AS DOUBLE)) END"
-    )
-
-
-def exact_avg(name: str) -> Column:
-    """Mean of the non-null values, from :func:`exact_sum`; null when there are none."""
-    return F.try_divide(exact_sum(name), F.count(name))
-
-
-def mean_of(name: str, exact: bool = True) -> Column:
-    """Either :func:`exact_avg` or Spark's own ``avg``."""
-    return exact_avg(name) if exact else F.avg(name)
-
-
 def round_half_up(value: str, digits: int) -> Column:
     """Spark's ``round`` of an SQL expression, of which only values near a tie pay the price.
 

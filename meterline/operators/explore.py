@@ -9,8 +9,9 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import clip, mean_of, percent
+from meterline.functions.numeric import clip, percent
 from meterline.functions.text import decode
+from meterline.operators.reports import mean_from, sums_of
 from meterline.schema import EXPLORER_PAYMENT_LABELS, LABEL, MONTH
 
 
@@ -54,13 +55,11 @@ def apply_filters(trips: DataFrame, filters: Filters) -> DataFrame:
 
 def key_figures(trips: DataFrame, exact: bool = True) -> DataFrame:
     """One row: trips, average fare, tip, distance and duration, percent generous."""
-    return trips.agg(
-        F.count(F.lit(1)).alias("trips"),
-        mean_of("fare_amount", exact).alias("avg_fare"),
-        mean_of("tip_amount", exact).alias("avg_tip"),
-        mean_of("trip_distance", exact).alias("avg_distance"),
-        mean_of("trip_duration_min", exact).alias("avg_duration_min"),
-        (F.avg(LABEL) * 100).alias("pct_generous"),
+    means = {"avg_fare": "fare_amount", "avg_tip": "tip_amount", "avg_distance": "trip_distance", "avg_duration_min": "trip_duration_min"}
+    sums = sums_of(trips, [], [*means.values(), LABEL], exact)
+    return sums.select(
+        F.col("row_count").alias("trips"), *[mean_from(column).alias(name) for name, column in means.items()],
+        (mean_from(LABEL) * 100).alias("pct_generous"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import mean_of
+from meterline.operators.reports import mean_from, sums_of
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -22,13 +22,17 @@ SUMMARY_ROWS = ("count", "mean", "stddev", "min", "max")
 def numeric_summary(
     df: DataFrame, columns: Sequence[str], digits: int | None = None, exact: bool = True
 ) -> DataFrame:
-    """Count, mean, sample deviation, least and greatest value, as numbers, in one pass."""
+    """Count, mean, sample deviation, least and greatest value, as numbers.
+
+    One pass for the exact means, one for the rest.
+    """
+    means = sums_of(df, [], columns, exact).select(*[mean_from(c).alias(c) for c in columns])
 
     def measures(name: str) -> list[Column]:
         value = F.col(name)
         found = [
             F.count(value),
-            mean_of(name, exact),
+            means.select(name).scalar(),
             F.stddev_samp(value),
             F.min(value),
             F.max(value),

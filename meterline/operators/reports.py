@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import mean_of, percent
+from meterline.functions.exact import exact_sums
+from meterline.functions.numeric import percent
 from meterline.schema import LABEL, MONTH
 
 
@@ -13,26 +16,39 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
+def sums_of(df: DataFrame, keys: Sequence[str | Column], columns: Sequence[str], exact: bool = True) -> DataFrame:
+    """Keys, ``row_count``, and ``sum_`` and ``n_`` of each column: exact in any order, or by Spark's own ``sum``."""
+    if exact:
+        return exact_sums(df, keys, columns)
+    sums = [x for c in columns for x in (F.sum(F.col(c).cast("double")).alias(f"sum_{c}"), F.count(c).alias(f"n_{c}"))]
+    return df.groupBy(*keys).agg(_rows().alias("row_count"), *sums)
+
+
+def mean_from(column: str, digits: int | None = None) -> Column:
+    """The mean of a column from its sum and its number of values; null when there are none."""
+    mean = F.try_divide(f"sum_{column}", f"n_{column}")
+    return mean if digits is None else F.round(mean, digits)
+
+
+SUMMARY_KEYS = (MONTH, "time_of_day", "is_airport_trip")
+SUMMARY_MEANS = {
+    "avg_fare": ("fare_amount", 2), "avg_tip": ("tip_amount", 2), "avg_distance": ("trip_distance", 2),
+    "avg_duration_min": ("trip_duration_min", 2), "avg_tip_pct": ("tip_pct", 4), "generous_tipper_rate": (LABEL, 3),
+}
+SUMMARY_COLUMNS = tuple(column for column, _ in SUMMARY_MEANS.values())
+
+
+def summary_from(sums: DataFrame) -> DataFrame:
+    """The trip summary from sums by its keys."""
+    return sums.select(
+        *SUMMARY_KEYS, F.col("row_count").alias("total_trips"), *[mean_from(*of).alias(name) for name, of in SUMMARY_MEANS.items()],
+        F.col(f"sum_{LABEL}").cast("long").alias("generous_tippers"),
+    ).orderBy(*SUMMARY_KEYS)
+
+
 def trip_summary(trips: DataFrame, exact: bool = True) -> DataFrame:
     """Trips, averages and generous tippers by month, part of the day and airport flag."""
-
-    def mean(name: str, digits: int) -> Column:
-        return F.round(mean_of(name, exact), digits)
-
-    return (
-        trips.groupBy(MONTH, "time_of_day", "is_airport_trip")
-        .agg(
-            _rows().alias("total_trips"),
-            mean("fare_amount", 2).alias("avg_fare"),
-            mean("tip_amount", 2).alias("avg_tip"),
-            mean("trip_distance", 2).alias("avg_distance"),
-            mean("trip_duration_min", 2).alias("avg_duration_min"),
-            mean("tip_pct", 4).alias("avg_tip_pct"),
-            F.round(F.avg(LABEL), 3).alias("generous_tipper_rate"),
-            F.sum(LABEL).alias("generous_tippers"),
-        )
-        .orderBy(MONTH, "time_of_day", "is_airport_trip")
-    )
+    return summary_from(sums_of(trips, SUMMARY_KEYS, SUMMARY_COLUMNS, exact))
 
 
 def group_sizes(df: DataFrame, *keys: str | Column) -> DataFrame:
@@ -42,22 +58,18 @@ def group_sizes(df: DataFrame, *keys: str | Column) -> DataFrame:
 
 def tip_share_by(trips: DataFrame, key: str, digits: int | None = None, exact: bool = True) -> DataFrame:
     """Trips and average tip share by one column, in its order."""
-    mean = mean_of("tip_pct", exact)
-    if digits is not None:
-        mean = F.round(mean, digits)
-    return trips.groupBy(key).agg(_rows().alias("trips"), mean.alias("avg_tip_pct")).orderBy(key)
+    sums = sums_of(trips, [key], ["tip_pct"], exact)
+    return sums.select(key, F.col("row_count").alias("trips"), mean_from("tip_pct", digits).alias("avg_tip_pct")).orderBy(key)
 
 
 def fare_by(trips: DataFrame, *keys: str, digits: int | None = None, exact: bool = True) -> DataFrame:
     """Trips and average fare by the given columns."""
-    mean = mean_of("fare_amount", exact)
-    if digits is not None:
-        mean = F.round(mean, digits)
-    return trips.groupBy(*keys).agg(_rows().alias("trips"), mean.alias("avg_fare"))
+    sums = sums_of(trips, keys, ["fare_amount"], exact)
+    return sums.select(*keys, F.col("row_count").alias("trips"), mean_from("fare_amount", digits).alias("avg_fare"))
 
 
 def overall_mean(df: DataFrame, column: str, exact: bool = True) -> DataFrame:
-    return df.agg(mean_of(column, exact).alias(f"avg_{column}"))
+    return sums_of(df, [], [column], exact).select(mean_from(column).alias(f"avg_{column}"))
 
 
 def counts_where(df: DataFrame, **conditions: Column) -> DataFrame:

@@ -9,11 +9,12 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.functions.numeric import hit, mean_of
+from meterline.functions.numeric import hit
 from meterline.functions.temporal import day_part, weekend_flag
 from meterline.functions.text import decision_text, decode, percent_text
 from meterline.functions.trip import speed_from_minutes
 from meterline.functions.vectors import class_confidence
+from meterline.operators.reports import mean_from, sums_of
 from meterline.schema import LABEL, PAYMENT_LABELS, REQUEST_CONSTANTS
 
 # --- Fixed values: the rule score --------------------------------------------
@@ -138,19 +139,21 @@ def responses(scored: DataFrame, *keep: str) -> DataFrame:
 def prediction_summary(scored: DataFrame, label: str = LABEL, exact: bool = True) -> DataFrame:
     """One row: predictions, positive and negative ones, accuracy, mean confidence."""
     prediction, truth = F.col("prediction"), F.col(label).cast("double")
-    return scored.agg(
-        F.count(F.lit(1)).alias("total_predictions"),
-        F.count_if(prediction == 1.0).alias("predicted_generous"),
-        F.count_if(prediction == 0.0).alias("predicted_not_generous"),
-        F.round(F.avg(hit(prediction, truth)), 4).alias("accuracy"),
-        F.round(mean_of("confidence", exact), 4).alias("avg_confidence"),
+    marks = scored.select(
+        "confidence", (prediction == 1.0).cast("int").alias("positive"), (prediction == 0.0).cast("int").alias("negative"), hit(prediction, truth).alias("right")
+    )
+    sums = sums_of(marks, [], ["confidence", "positive", "negative", "right"], exact)
+    count = lambda name: F.coalesce(F.col(f"sum_{name}").cast("long"), F.lit(0).cast("long"))
+    return sums.select(
+        F.col("row_count").alias("total_predictions"), count("positive").alias("predicted_generous"),
+        count("negative").alias("predicted_not_generous"), mean_from("right", 4).alias("accuracy"), mean_from("confidence", 4).alias("avg_confidence"),
     )
 
 
 def prediction_figures(scored: DataFrame, exact: bool = True) -> DataFrame:
     """Percent predicted generous and mean confidence."""
-    return scored.agg(
-        F.count(F.lit(1)).alias("predictions"),
-        F.round(F.avg("prediction") * 100, 1).alias("pct_generous"),
-        F.round(mean_of("confidence", exact), 3).alias("avg_confidence"),
+    sums = sums_of(scored, [], ["prediction", "confidence"], exact)
+    return sums.select(
+        F.col("row_count").alias("predictions"), F.round(mean_from("prediction") * 100, 1).alias("pct_generous"),
+        mean_from("confidence", 3).alias("avg_confidence"),
     )

@@ -218,6 +218,14 @@ def describe_small_values(spark, folder):
     return found.withColumn("l_discount", F.when(F.col("summary") == "count", F.col("l_discount")).otherwise(F.round(F.col("l_discount") * 1e15, 0)))
 
 
+@query
+def means_of_small_values(spark, folder):
+    """Exact means of values from 1e-5 to 1e-3, whose every bit counts."""
+    small = table(spark, folder, "lineitem").select("l_returnflag", "l_linestatus", (F.col("l_extendedprice") / 1e8).alias("price"))
+    sums = reports.sums_of(small, ["l_returnflag", "l_linestatus"], ["price"])
+    return sums.select("l_returnflag", "l_linestatus", "row_count", F.col("sum_price"), reports.mean_from("price").alias("avg_price"))
+
+
 @query
 def reduction_report_null_months(spark, folder):
     """Trips whose month is not known keep a row of their own."""
@@ -770,6 +778,23 @@ def etl_run_report(spark, folder):
     return report.drop("seconds")
 
 
+@query
+def months_summary(spark, folder):
+    """The summary of a store that first got half of the rows and then all of them."""
+    store = jobs.month_store(spark, scratch.fresh_path(spark, "months"), ANY_PERIOD)
+    store.update(trips(spark, folder).filter("l_orderkey % 2 = 0"))
+    store.update(trips(spark, folder))
+    return reports.summary_from(store.summary_sums())
+
+
+@query
+def months_update_report(spark, folder):
+    """What an update does to a store that had the months up to 1997 already, 1996 in half."""
+    store = jobs.month_store(spark, scratch.fresh_path(spark, "months"), ANY_PERIOD)
+    store.update(trips(spark, folder).filter(f"{MONTH} < '1998' AND ({MONTH} < '1996' OR {MONTH} > '1997' OR l_orderkey % 2 = 0)"))
+    return store.update(trips(spark, folder))
+
+
 @query
 def full_run_report(spark, folder):
     settings = jobs.RunSettings(

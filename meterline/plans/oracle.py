@@ -334,6 +334,7 @@ def statements() -> dict[str, str]:
     }
     return {
         "trip_summary": f"{_FROM_CLEAN} {_SUMMARY}",
+        "months_summary": f"{_FROM_CLEAN} {_SUMMARY}",
         "trip_summary_after_dedup": f"""WITH {_TRIPS.replace("trips AS (", "single AS (", 1)},
             trips AS (SELECT DISTINCT * FROM (SELECT * FROM single UNION ALL SELECT * FROM single)),
             {_DERIVED}, {_CLEAN} {_SUMMARY}""",
@@ -431,6 +432,12 @@ def statements() -> dict[str, str]:
                 **{n: f"round({f}(d) * 1e15::DOUBLE, 0)" for n, f in (("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))},
             }.items()
         ),
+        # 2^74 times such a value is a whole number.
+        "means_of_small_values": """
+            SELECT l_returnflag, l_linestatus, n AS row_count, s AS sum_price, s / n AS avg_price FROM (
+              SELECT l_returnflag, l_linestatus, n, CAST(h AS DOUBLE) / 18889465931478580854784::DOUBLE AS s FROM (
+                SELECT l_returnflag, l_linestatus, count(*) AS n, sum(CAST(l_extendedprice / 1e8::DOUBLE * 18889465931478580854784::DOUBLE AS HUGEINT)) AS h
+                FROM lineitem GROUP BY ALL))""",
         "reduction_report_null_months": f"""{_FROM_CLEAN},
             r AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN source_month END AS source_month, count(*) AS raw_rows FROM trips GROUP BY 1),
             c AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN source_month END AS source_month, count(*) AS clean_rows FROM clean GROUP BY 1)
@@ -561,6 +568,12 @@ def statements() -> dict[str, str]:
             UNION ALL SELECT 2, 'transform', 'SUCCESS', NULL
             UNION ALL SELECT 3, 'load', 'SUCCESS', count(*) FROM clean
             UNION ALL SELECT 4, 'reduction', 'SUCCESS', (SELECT count(*) FROM trips) - count(*) FROM clean""",
+        "months_update_report": f"""{_FROM_CLEAN},
+            raw AS (SELECT source_month, count(*) AS raw_rows FROM trips GROUP BY ALL),
+            kept AS (SELECT source_month, count(*) AS row_count FROM clean GROUP BY ALL)
+            SELECT source_month,
+              CASE WHEN source_month < '1996' OR source_month BETWEEN '1997' AND '1998' THEN 'kept' WHEN source_month < '1997' THEN 'replaced' ELSE 'added' END AS action,
+              raw_rows, coalesce(row_count, 0) AS row_count FROM raw LEFT JOIN kept USING (source_month)""",
         "full_run_report": f"""{_FROM_CLEAN}
             SELECT 1 AS step, 'etl' AS phase, 'SUCCESS' AS status, count(*) AS row_count FROM clean
             UNION ALL SELECT 2, 'prepare', 'SUCCESS', count(*) FROM clean

@@ -69,3 +69,32 @@ def file_sizes(spark: SparkSession, paths: list[str]) -> list[tuple[str, int, in
         status = target.getFileSystem(hadoop).getFileStatus(target)
         found.append((path, status.getLen(), status.getModificationTime()))
     return found
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """One small text at a path that must not exist yet."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = files.create(target, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def folders(spark: SparkSession, path: str, prefix: str = "") -> list[str]:
+    """Names of what lies below a path and begins with the prefix, without the prefix."""
+    if not path_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(target)
+    names = [str(status.getPath().getName()) for status in listed]
+    return [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+
+
+def numbered(spark: SparkSession, path: str, pattern: str) -> list[int]:
+    """Numbers of the files below a path whose names follow a pattern with one number."""
+    head, _, rest = pattern.partition("{")
+    tail = rest.partition("}")[2]
+    found = [n.removesuffix(tail) for n in folders(spark, path, head) if n.endswith(tail)]
+    return [int(n) for n in found if n.isdecimal()]

@@ -48,22 +48,6 @@ def test_unrounded_bounds_agree_with_rounded_ones(spark, values):
     assert column(spark, values).filter(quick != slow).count() == 0
 
 
-def test_exact_sum_does_not_depend_on_order(spark):
-    values = [0.1, 0.2, 0.3, -7.25, 1e6, 123.45678] * 50
-    one = column(spark, values).agg(numeric.exact_sum("x").alias("s"), numeric.exact_avg("x").alias("m"))
-    two = column(spark, values[::-1]).repartition(7).agg(
-        numeric.exact_sum("x").alias("s"), numeric.exact_avg("x").alias("m")
-    )
-    total = float(sum(Decimal(repr(v)) for v in values))
-    assert one.first().s == two.first().s == total
-    assert one.first().m == two.first().m == total / len(values)
-
-
-def test_exact_avg_of_nothing_is_null(spark):
-    row = column(spark, [None, None]).agg(numeric.exact_avg("x").alias("m")).first()
-    assert row.m is None
-
-
 def test_ratio_by_zero_is_null(spark):
     frame = spark.createDataFrame([(1.0, 0.0), (1.0, 3.0)], "a double, b double")
     got = [r.r for r in frame.select(numeric.ratio("a", "b", 4).alias("r")).collect()]
@@ -136,19 +120,3 @@ def test_hashes_stay_in_range_and_spread(spark):
         assert 0 <= found.low and found.high < hashing.HASH_SPACE and found.n == 4000
         below = spark.range(4000).filter(made < int(0.25 * hashing.HASH_SPACE)).count()
         assert 850 < below < 1150
-
-
-@pytest.mark.parametrize("ansi", ["true", "false"])
-@pytest.mark.parametrize(
-    ("values", "mean"),
-    [([1e-9, 3e-9], 2e-9), ([2e11, 4e11], 3e11), ([1.0, float("nan")], float("nan")), ([1.0, float("inf")], float("inf")),
-     ([0.1, 0.2, None], 0.15), ([None, None], None), ([0.0, 1e-12], 5e-13), ([9e10, 9e10], 9e10), ([-1e300, 3e300], 1e300)],
-)
-def test_means_of_any_size(spark, ansi, values, mean):
-    before = spark.conf.get("spark.sql.ansi.enabled")
-    spark.conf.set("spark.sql.ansi.enabled", ansi)
-    try:
-        got = spark.createDataFrame([(v,) for v in values], "v double").agg(numeric.exact_avg("v")).first()[0]
-    finally:
-        spark.conf.set("spark.sql.ansi.enabled", before)
-    assert got == pytest.approx(mean, nan_ok=True) if mean is not None else got is None

@@ -222,6 +222,21 @@ def test_new_rows_leave_nothing_stale(spark, small, tmp_path, if_present):
     assert whole["train"] + whole["predict"] == whole["etl"]
 
 
+def test_new_rows_of_the_same_files_and_in_memory_are_noticed(spark, small, tmp_path):
+    """A filter over the same files and a source without files: the second run sees other rows."""
+    settings = run_settings(tmp_path / "run", if_present="skip")
+    half, whole = trips(spark, small).filter("l_orderkey % 2 = 0"), trips(spark, small)
+    held = whole.filter("l_orderkey % 3 = 0").toArrow()
+    memory = spark.createDataFrame(held)
+    counts = []
+    for source in (half, whole, memory, memory.repartition(3)):
+        done = jobs.run_all(lambda s=source: s, settings, spark)
+        made = rows_of(done)
+        assert made["etl"] == made["prepare"] == made["train"] + made["predict"] == jobs.transform(source, ANY_PERIOD).count()
+        counts.append((made["etl"], scratch.file_sizes(spark, [f"{settings.model_path}/metadata/_SUCCESS"])))
+    assert len({n for n, _ in counts[:3]}) == 3 and counts[2] == counts[3]  # the same rows in another layout are read back
+
+
 def test_changed_settings_train_again(spark, small, tmp_path):
     settings = run_settings(tmp_path / "run", if_present="skip")
     jobs.run_all(lambda: trips(spark, small), settings, spark)
@@ -255,6 +270,16 @@ def test_training_job(spark, clean, tmp_path):
     assert readers.load_regressor(run_settings(tmp_path / "run").fare_model_path).numFeatures == 10
 
 
+def test_writes_are_counted_as_they_pass(spark, small, tmp_path):
+    """No option is needed, the table is cleaned once, and months that stay do not disturb the count."""
+    settings = run_settings(tmp_path / "run", if_present="overwrite_partitions")
+    assert settings.verify == "passing"
+    clean = jobs.transform(trips(spark, small), ANY_PERIOD)
+    first = jobs.load(clean.filter("source_month < '1996'"), settings)
+    second = jobs.load(clean.filter("source_month >= '1995-12'"), settings)
+    assert first.rows < second.rows == clean.count()
+
+
 def test_lost_rows_are_noticed(spark, small, tmp_path, monkeypatch):
     write = jobs.writers.write_partitioned
     monkeypatch.setattr(jobs.writers, "write_partitioned", lambda df, *a, **k: write(df.limit(3), *a, **k))
