@@ -23,9 +23,7 @@ WIDTH = 24  # bits of a piece, and of a digit
 STRIDE = 48  # exponents of a band
 UPPER = 22  # a unit of the first piece of band 0 is 2^22
 LOWEST = 20  # band 0 begins at 2^-20
-FIRST, LAST = -22, 21  # bands that doubles can have
-BOTTOM = UPPER - WIDTH * (PIECES - 1) + STRIDE * FIRST  # a unit of the lowest digit is 2^BOTTOM
-DIGITS = (UPPER + STRIDE * LAST - BOTTOM) // WIDTH + 1
+UNIT = UPPER - WIDTH * (PIECES - 1)  # a unit of the last piece of band 0 is 2^UNIT
 SPARE = 3  # digits that carrying may add
 BASE = 1 << WIDTH
 
@@ -65,13 +63,14 @@ def _let(name: str, value: str, body: str) -> str:
 def _total(parts: str) -> str:
     """SQL from the parts (band, sums, rows, n, nans, ups, downs) of one column to its (total, n, rows).
 
-    ``lined`` has the piece sums of all bands at their places, lowest first; ``digits`` are
+    ``lined`` has the piece sums of all bands there are at their places, lowest first; ``digits`` are
     carried, from 0 to 2^24 - 1, of the number without its ``sign``; ``top`` is the place of
     the highest that is not zero. Four digits and a bit for whatever stands below make a
     decimal whose rounding is the number's own; the power of two is applied in two exact steps.
     """
-    size, per = DIGITS + SPARE, STRIDE // WIDTH
-    high = f"((p.band - ({FIRST})) * {per} + {PIECES - 1})"
+    per = STRIDE // WIDTH
+    low, size = "array_min(transform(parts, p -> p.band))", f"((array_max(transform(parts, p -> p.band)) - low) * {per} + {PIECES + SPARE})"
+    high = f"((p.band - low) * {per} + {PIECES - 1})"
     lined = (
         f"aggregate(parts, array_repeat(0L, {size}), (ds, p) -> transform(ds, (d, i) -> d + CASE WHEN i <= {high}"
         f" AND i > {high} - {PIECES} THEN get(p.sums, {high} - i) ELSE 0L END))"
@@ -86,10 +85,10 @@ def _total(parts: str) -> str:
         f"(CAST(if(top >= {k}, get(digits, top - {k}), 0L) AS DECIMAL(8, 0)) * CAST('{1 << (WIDTH * (3 - k) + 1)}' AS DECIMAL(24, 0)))" for k in range(4)
     )
     below = "if(exists(slice(digits, 1, greatest(top - 3, 0)), d -> d != 0), 1, 0)"
-    power = f"((top - 3) * {WIDTH} + {BOTTOM - 1})"
+    power = f"((top - 3) * {WIDTH} + low * {STRIDE} + {UNIT - 1})"
     near = f"({power} div 2)"
     finite = f"if(top < 0, 0D, sign * CAST({shown} + {below} AS DOUBLE) * pow(2D, {near}) * pow(2D, {power} - {near}))"
-    finite = _let("lined", lined, _let("sign", sign, _let("digits", f"{carried.format(sign='sign')}.digits", _let("top", top, finite))))
+    finite = _let("low", low, _let("lined", lined, _let("sign", sign, _let("digits", f"{carried.format(sign='sign')}.digits", _let("top", top, finite)))))
     added = ", ".join(f"'{f}', aggregate(parts, 0L, (s, p) -> s + p.{f})" for f in ("rows", "n", "nans", "ups", "downs"))
     total = (
         "CASE WHEN c.n = 0 THEN NULL WHEN c.nans > 0 OR (c.ups > 0 AND c.downs > 0) THEN double('NaN')"

@@ -60,9 +60,12 @@ def _half_up(value: str, digits: int) -> str:
     return f"CAST(CAST(CAST({value} AS VARCHAR) AS DECIMAL(30,{digits})) AS DOUBLE)"
 
 
+_SCALE = f"{2**74}::DOUBLE"
+
+
 def _mean(column: str, digits: int | None = None) -> str:
-    """Mean from an exact decimal sum."""
-    value = f"(CAST(sum(CAST({column} AS DECIMAL(18,8))) AS DOUBLE) / count({column}))"
+    """Mean from the exact sum of doubles: 2^74 times a value of these columns is a whole number."""
+    value = f"(CAST(sum(CAST({column} * {_SCALE} AS HUGEINT)) AS DOUBLE) / {_SCALE} / count({column}))"
     return value if digits is None else _half_up(value, digits)
 
 
@@ -432,12 +435,10 @@ def statements() -> dict[str, str]:
                 **{n: f"round({f}(d) * 1e15::DOUBLE, 0)" for n, f in (("mean", "avg"), ("stddev", "stddev_samp"), ("min", "min"), ("max", "max"))},
             }.items()
         ),
-        # 2^74 times such a value is a whole number.
-        "means_of_small_values": """
-            SELECT l_returnflag, l_linestatus, n AS row_count, s AS sum_price, s / n AS avg_price FROM (
-              SELECT l_returnflag, l_linestatus, n, CAST(h AS DOUBLE) / 18889465931478580854784::DOUBLE AS s FROM (
-                SELECT l_returnflag, l_linestatus, count(*) AS n, sum(CAST(l_extendedprice / 1e8::DOUBLE * 18889465931478580854784::DOUBLE AS HUGEINT)) AS h
-                FROM lineitem GROUP BY ALL))""",
+        "means_of_small_values": f"""
+            SELECT l_returnflag, l_linestatus, count(*) AS row_count,
+              CAST(sum(CAST(l_extendedprice / 1e8::DOUBLE * {_SCALE} AS HUGEINT)) AS DOUBLE) / {_SCALE} AS sum_price,
+              {_mean("(l_extendedprice / 1e8::DOUBLE)")} AS avg_price FROM lineitem GROUP BY ALL""",
         "reduction_report_null_months": f"""{_FROM_CLEAN},
             r AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN source_month END AS source_month, count(*) AS raw_rows FROM trips GROUP BY 1),
             c AS (SELECT CASE WHEN l_orderkey % 5 <> 0 THEN source_month END AS source_month, count(*) AS clean_rows FROM clean GROUP BY 1)
