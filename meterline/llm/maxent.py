@@ -46,6 +46,7 @@ FEATURES = 3
 BATCH = 1 << 13
 ROUNDS = 4
 RATE = 0.2
+OFTEN = 12
 PARTS = 16
 GROUPS = 64
 END_WORD = b" "
@@ -156,9 +157,9 @@ class Weights:
 
     @staticmethod
     def _softmax(table: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-        logits = bias + table[rows[:, 0]]
+        logits = bias + table.take(rows[:, 0], axis=0)
         for k in range(1, rows.shape[1]):
-            logits += table[rows[:, k]]
+            logits += table.take(rows[:, k], axis=0)
         logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
         logits /= logits.sum(axis=1, keepdims=True)
@@ -173,17 +174,36 @@ class Weights:
         )
 
 
+def _sums(rows: np.ndarray, slope: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that occur, and the sum of the slopes of each.
+
+    The first slope of every row, then the second of those that have one, and so on: few
+    steps, as few rows occur often; those that do are added up by themselves.
+    """
+    order = np.argsort(rows, kind="stable")
+    ordered = rows.take(order)
+    new = np.ones(len(rows), dtype=bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(rows)))
+    total = slope.take(order.take(starts), axis=0)
+    for g in np.flatnonzero(sizes > OFTEN).tolist():
+        total[g] = slope.take(order[starts[g] : starts[g] + sizes[g]], axis=0).sum(axis=0)
+    turn, more = 1, np.flatnonzero((sizes > 1) & (sizes <= OFTEN))
+    while len(more):
+        total[more] += slope.take(order.take(starts.take(more) + turn), axis=0)
+        turn += 1
+        more = more[sizes.take(more) > turn]
+    return ordered.take(starts).astype(np.int64), total
+
+
 def _step(table: np.ndarray, squares: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     """One adaptive gradient step: slopes summed by weight row, scaled by what the row has seen."""
     for k in range(rows.shape[1]):
-        column = rows[:, k].astype(np.uint16)  # short numbers are sorted by digits
-        order = np.argsort(column, kind="stable")
-        sorted_rows = column[order].astype(np.int64)
-        starts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1]))
-        total = np.add.reduceat(slope[order], starts, axis=0)
-        at = sorted_rows[starts]
+        at, total = _sums(rows[:, k].astype(np.uint16), slope)  # short numbers are sorted by digits
         squares[at] += np.square(total).mean(axis=1)
-        table[at] += RATE * total / np.sqrt(squares[at] + 1.0)[:, None]
+        total *= (RATE / np.sqrt(squares.take(at) + 1.0))[:, None]
+        table[at] += total
 
 
 def learn(block: Block, weights: Weights, squares: tuple[np.ndarray, np.ndarray]) -> int:

@@ -29,6 +29,8 @@ from itertools import chain, islice
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +43,7 @@ from meterline.scratch import fresh_path
 VOCABULARY = "byte_bpe_50k.json"
 END = 0
 SHARD = 1 << 21
-MEMO = 400_000
+MEMO = 1_000_000
 CHARACTERS = 1 << 21  # of text encoded at a time
 TOGETHER = 128
 BLANK = "\u0120"  # how a byte-level vocabulary spells a blank
@@ -111,17 +113,23 @@ class Encoder:
             return out
         if len(self.known) > MEMO:
             self.clear()
-        heads, tails = [], []
-        counts = np.empty(len(cut), dtype=np.int64)
-        for j, i in enumerate(cut):
-            first, *rest = texts[i].split(" ")
-            heads.append(first)
-            tails += rest
-            counts[j] = len(rest)
+        # Arrow numbers the words of the batch, so each of them is looked up once.
+        split = pc.split_pattern(pa.array([texts[i] for i in cut], pa.large_string()), " ")
+        firsts = np.asarray(split.offsets)[:-1]
+        coded = split.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        counts = np.diff(np.append(firsts, len(codes))) - 1
+        heads = [words[c] for c in codes[firsts].tolist()]
+        behind = np.ones(len(codes), dtype=bool)
+        behind[firsts] = False
+        tails = codes[behind]
+        seen = np.flatnonzero(np.bincount(tails, minlength=len(words)))
         before = len(self.known)
-        which = np.fromiter(map(self.known.__getitem__, tails), dtype=np.int64, count=len(tails))
+        numbers = np.zeros(len(words), dtype=np.int64)
+        numbers[seen] = np.fromiter(map(self.known.__getitem__, map(words.__getitem__, seen.tolist())), dtype=np.int64, count=len(seen))
         if len(self.known) > before:
             self._learn(list(islice(self.known, before, None)))
+        which = numbers[tails]
         sizes = self.sizes[which]
         ends = np.cumsum(sizes)
         take = np.arange(ends[-1] if len(ends) else 0) + np.repeat(self.starts[which] - (ends - sizes), sizes)
@@ -173,7 +181,9 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             yield pack(ids, parts, number)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("body"))
+    # Rows that repeat an id, or have none, spread by their texts.
+    turn = F.xxhash64("body")
+    ordered = rows.repartitionByRange("doc_id", turn).sortWithinPartitions("doc_id", turn)
     ordered.mapInPandas(shards, SHARDS).write.parquet(path)
 
 
