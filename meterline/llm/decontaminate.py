@@ -14,8 +14,8 @@ every shard.
 
 Defined cases: a null text, in either table, has no words; an item of fewer words than a
 window is one window, one without words none; items that repeat count by their id; items
-without an id are searched only where ``unnamed`` is set, as the query and the pipeline do, and
-then stand in ``items`` as one null; rows that repeat a document id give a row each; empty tables give rows without hits, or no
+without an id are searched like others and stand in ``items`` as one null;
+rows that repeat a document id give a row each; empty tables give rows without hits, or no
 rows; other columns are ignored, whatever their names.
 """
 
@@ -205,7 +205,7 @@ def windows(item: str | None, window: int = WINDOW) -> list[tuple[bytes, ...]]:
 
 
 def window_blocks(
-    benchmark: DataFrame, id_col: str, text_col: str, window: int, block: int, unnamed: bool = False
+    benchmark: DataFrame, id_col: str, text_col: str, window: int, block: int
 ) -> Iterator[dict[int, tuple[np.ndarray, list[list[str | None]]]]]:
     """Blocks of distinct windows with the items they occur in, by number of words."""
 
@@ -215,7 +215,6 @@ def window_blocks(
             yield pd.DataFrame(rows, columns=["phrase", "item"])
 
     items = benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("body"))
-    items = items if unnamed else items.filter("item_id IS NOT NULL")
     spark, path = benchmark.sparkSession, fresh_path(benchmark.sparkSession, "windows")
     phrases = items.mapInPandas(cut, "phrase binary, item string").groupBy("phrase").agg(
         F.collect_set("item").alias("items"), F.max(F.col("item").isNull()).alias("nameless")
@@ -294,13 +293,13 @@ def _documents(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text_col: str = "text", window: int = WINDOW, block: int = BLOCK, shard: int = SHARD, unnamed: bool = False,
+    item_text_col: str = "text", window: int = WINDOW, block: int = BLOCK, shard: int = SHARD,
 ) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, spans (disjoint, in words), items, contaminated."""
     spark = docs.sparkSession
     path, where = fresh_path(spark, "index"), fresh_path(spark, "hits")
     write_index(docs, path, id_col, text_col, shard)
-    for part in window_blocks(benchmark, item_col, item_text_col, window, block, unnamed):
+    for part in window_blocks(benchmark, item_col, item_text_col, window, block):
         search(spark, path, part).write.mode("append").parquet(where)
     hits = spark.read.schema(HITS).parquet(where).groupBy("shard", "ordinal").agg(
         F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
@@ -339,9 +338,11 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def keep_clean(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", unnamed: bool = False
-) -> DataFrame:
-    """The documents that are not contaminated; rows that repeat an id go or stay together."""
-    found = contamination(docs, benchmark, id_col, text_col, unnamed=unnamed).filter("contaminated").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(found, docs[id_col].eqNullSafe(found["gone"]), "left_anti")
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated, with their own columns; every row is judged by its own text."""
+    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "documents")
+    # Written once, so a row has one key however often the table is read.
+    docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
+    held = spark.read.parquet(path)
+    found = contamination(held.select("row", F.col(f"doc.`{text_col}`").alias("body")), benchmark, "row", "body").filter("contaminated")
+    return held.join(found.select(F.col("doc_id").alias("row")), "row", "left_anti").select("doc.*")

@@ -17,9 +17,9 @@ Which way words move follows from a hash of the two ids, so another layout, a lo
 executor or a second run gives the same mix.
 
 Defined cases: a null or blank text has size 0 and gets its source's whole copies, which
-weigh nothing; the null source is a source, the last in order; rows that repeat an id are
-rounded one by one; an empty table gives an empty mix; other columns are ignored, whatever
-their names. The table of sources (one row each) is what is ordered in a single task.
+weigh nothing; the null source is a source, the last in order; rows that repeat an id, or have
+none, are rounded one by one and spread over the leaves by their texts; an empty table gives an
+empty mix; other columns are ignored, whatever their names. The table of sources (one row each) is what is ordered in a single task.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ SEED = 17
 CLOSE = 1e-12
 
 WORDS = r"[^\x20\x09-\x0D]+"
-OPEN = "doc_id long, src string, size long, copies long, fraction double, bucket long"
+OPEN = "row long, doc_id string, turn long, src string, size long, copies long, fraction double, bucket long"
 NODE = f"{OPEN}, open boolean"
 
 
@@ -119,66 +119,68 @@ def round_pairs(ids: list[int], sizes: list[int], fractions: list[float]) -> tup
 
 def _node(rows: pd.DataFrame) -> pd.DataFrame:
     """One node of the tree: per source, everything but one document gets settled."""
-    rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
+    # Rows alike in id, text and source are interchangeable, so their order does not matter.
+    rows["number"] = pd.array([None if i is None else int(i) for i in rows["doc_id"]], dtype="Int64")
+    rows = rows.sort_values(["size", "number", "turn"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
     rows["open"] = False
     named = rows["src"].isna()
     for _, part in rows.groupby([named, rows["src"].fillna("")], sort=False):
-        ids = [int(i) if pd.notna(i) else -1 for i in part["doc_id"]]
+        ids = [int(i) if i is not None else int(t) for i, t in zip(part["doc_id"], part["turn"])]
         after, held = round_pairs(ids, part["size"].tolist(), part["fraction"].tolist())
         rows.loc[part.index, "fraction"] = after
         if held is not None:
             rows.loc[part.index[held], "open"] = True
-    return rows
+    return rows.drop(columns="number")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", leaf: int = LEAF, fan: int = FAN) -> DataFrame:
-    """Per document: doc_id, src, size, source_size, target, copies, taken (copies times size)."""
-    spark = docs.sparkSession
+def _kept(frame: DataFrame, name: str) -> DataFrame:
+    path = fresh_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
 
-    def kept(frame: DataFrame, name: str) -> DataFrame:
-        path = fresh_path(spark, name)
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
 
-    rows = kept(
-        docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("src"), word_count(F.col(text_col)).alias("size")), "sizes"
-    )
-    sources = kept(targets(rows.groupBy("src").agg(F.sum("size").alias("source_size"))), "targets")
+def _copies(rows: DataFrame, leaf: int, fan: int) -> DataFrame:
+    """Adds source_size, target and copies to rows (row, doc_id, turn, src, size)."""
+    sources = _kept(targets(rows.groupBy("src").agg(F.sum("size").alias("source_size"))), "targets")
     buckets = max(1, -(-rows.count() // leaf))
     named = sources.withColumnRenamed("src", "name")
     rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     wanted = rows.join(named, rows["src"].eqNullSafe(named["name"])).select(
-        "doc_id", "src", "size", F.floor(rate + CLOSE).alias("copies"), F.greatest(rate - F.floor(rate + CLOSE), F.lit(0.0)).alias("fraction"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).alias("bucket"),
+        "row", F.col("doc_id").cast("string").alias("doc_id"), "turn", "src", "size", F.floor(rate + CLOSE).alias("copies"),
+        F.greatest(rate - F.floor(rate + CLOSE), F.lit(0.0)).alias("fraction"), F.pmod(F.xxhash64("doc_id", "turn"), F.lit(buckets)).alias("bucket"),
     )
-    nodes = kept(wanted.groupBy("bucket").applyInPandas(_node, NODE), "mix")
+    nodes = _kept(wanted.groupBy("bucket").applyInPandas(_node, NODE), "mix")
     settled = nodes.filter("NOT open")
     while buckets > 1:
         buckets = -(-buckets // fan)
         up = nodes.filter("open").drop("open").withColumn("bucket", F.floor(F.col("bucket") / fan))
-        nodes = kept(up.groupBy("bucket").applyInPandas(_node, NODE), "mix")
+        nodes = _kept(up.groupBy("bucket").applyInPandas(_node, NODE), "mix")
         settled = settled.unionByName(nodes.filter("NOT open"))
     last = nodes.filter("open").withColumn("fraction", F.when(F.col("fraction") >= 0.5, 1.0).otherwise(0.0))
-    done = settled.unionByName(last)
-    copies = F.col("copies") + F.round("fraction").cast("long")
+    done = settled.unionByName(last).withColumn("doc_id", F.col("doc_id").cast("long"))
     return done.join(named, done["src"].eqNullSafe(named["name"])).select(
-        "doc_id", "src", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken")
+        "row", "doc_id", "src", "size", "source_size", "target", (F.col("copies") + F.round("fraction").cast("long")).alias("copies")
     )
 
 
-def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The mix as documents: each row as often as it is taken, with its own columns.
-
-    Nothing tells rows that repeat an id apart but their text, so they share the copies of
-    the id: each gets the whole part, and a hash of its text decides on the rest.
-    """
-    taken = mix(docs, id_col, text_col, source_col).groupBy(F.col("doc_id").alias("mix_id")).agg(
-        F.sum("copies").alias("mix_copies"), F.count(F.lit(1)).alias("mix_rows")
+def _sized(docs: DataFrame, row: Column, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    text = F.col(text_col)
+    return docs.select(
+        row.alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("turn"), F.col(source_col).alias("src"), word_count(text).alias("size")
     )
-    joined = docs.join(taken, docs[id_col].eqNullSafe(taken["mix_id"]))
-    copies, rows = F.col("mix_copies"), F.col("mix_rows")
-    rest = (F.pmod(F.xxhash64(docs[text_col]), rows) < copies % rows).cast("int")
-    each = F.floor(copies / rows).cast("int") + rest
-    kept = joined.withColumn("mix_each", each).filter("mix_each > 0")
-    turns = kept.withColumn("mix_turn", F.explode(F.sequence(F.lit(1), F.col("mix_each"))))
-    return turns.select(*[docs[c] for c in docs.columns])
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", leaf: int = LEAF, fan: int = FAN) -> DataFrame:
+    """Per document: doc_id, src, size, source_size, target, copies, taken (copies times size)."""
+    rows = _kept(_sized(docs, F.lit(0).cast("long"), id_col, text_col, source_col), "sizes")
+    return _copies(rows, leaf, fan).drop("row").withColumn("taken", F.col("copies") * F.col("size"))
+
+
+def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", leaf: int = LEAF, fan: int = FAN) -> DataFrame:
+    """The mix as documents: each row as often as it is taken, with its own columns, whatever their names."""
+    # Written once, so a row has one key however often the table is read.
+    held = _kept(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "documents")
+    inside = [f"doc.`{c}`" for c in (id_col, text_col, source_col)]
+    copies = _copies(_kept(_sized(held, F.col("row"), *inside), "sizes"), leaf, fan).filter("copies > 0").select("row", "copies")
+    turns = held.join(copies, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return turns.select("doc.*")

@@ -1,15 +1,18 @@
 """Toxicity by compression distance: two zstandard dictionaries and the lengths they give.
 
-Every text is cut into windows of one word. A window is compressed with a dictionary of
-toxic and one of ordinary text, between two fixed carriers that both dictionaries hold;
-less the length of the carriers alone, the result is what the window itself costs. Where
+Every text is cut into windows of one word and of two. A window is compressed with a
+dictionary of toxic and one of ordinary text, between two fixed carriers that both dictionaries
+hold; less the length of the carriers alone, the result is what the window itself costs. Where
 the toxic dictionary explains a window (its cost is at most ``cost``) and the ordinary one
 does not (its cost is at least ``gain`` higher), the window is a hit. Both thresholds are
 calibrated on labelled texts, each measured with dictionaries it did not go into, and so is
 the share of toxic texts among those with as many hits, which is the score.
 
-The toxic dictionary is trained on what the ordinary sample lacks and several toxic texts
-share: copies count once, by their first words, so a group of copies teaches nothing.
+Both dictionaries are trained on whole sampled texts, with the same budget. A window that a far
+larger share of the toxic texts has (``RATIO`` times that of the ordinary ones) goes into the
+toxic dictionary alone, any other into the ordinary one; so some ordinary or mislabelled texts
+with a toxic word do not take it away. Windows of two words go in where neither word stands
+out by itself. Equal texts count once.
 
 Fitting uses a bounded sample of the labelled rows: at most ``SAMPLE`` texts a
 class, each of at most ``LONGEST`` bytes, chosen by a hash of the id. Scoring covers every text and its whole length.
@@ -24,7 +27,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -36,11 +39,11 @@ from pyspark.sql import functions as F
 SAMPLE = 2500
 FOLDS = 4
 LONGEST = 1 << 15
-TOXIC_BYTES = 2048
-ORDINARY_BYTES = 1 << 16
+BYTES = 1 << 16
 LEVEL = 19
 TOGETHER = 40
-SHARED = 0.02
+SHARED = 0.01
+RATIO = 8
 CUT = 0.7
 COSTS = (0, 1, 2, 3, 4)
 GAINS = (3, 4, 5, 6)
@@ -50,6 +53,7 @@ MEMO = 300_000
 # Bytes that no text holds, so the carriers match only each other.
 BEFORE = bytes(range(0xF8, 0x100)) + bytes(range(1, 9)) + bytes(range(0xF8, 0x100))
 AFTER = bytes(range(0x0E, 0x1B)) + b"\xff\xfe\xfd\xfc\xfb\xfa\xf9"
+PAIR, PAIRS = b" \xf8\xf9 ", b" \xfa\xf9 "
 EDGES = re.compile(rb"^[^0-9A-Za-z\x80-\xff]+|[^0-9A-Za-z\x80-\xff]+$")
 
 
@@ -87,44 +91,73 @@ class Meter:
             )
             self.press.append((tool, len(tool.compress(BEFORE + b"  " + AFTER))))
         self.known: dict[bytes, tuple[int, int] | None] = {}
+        # Which words follow which in the windows of two words of the toxic dictionary.
+        self.led: dict[bytes, set[bytes]] = {}
+        for pair in toxic.partition(PAIRS)[0].split(PAIR):
+            if len(two := pair.split()) == 2:
+                self.led.setdefault(two[0], set()).add(two[1])
 
     def _cost(self, which: int, window: bytes) -> int:
         tool, carriers = self.press[which]
         return len(tool.compress(BEFORE + b" " + window + b" " + AFTER)) - carriers
 
+    def _found(self, word: bytes, weight: int = 1) -> tuple[int, int] | None:
+        """(cost under the toxic dictionary, weighted gain over the ordinary one); None if it cannot be a hit."""
+        if len(word) < GAINS[0]:
+            return None
+        cost = self._cost(0, word)
+        if cost > COSTS[-1]:
+            return None
+        gain = (self._cost(1, word) - cost) * weight
+        return (cost, gain) if gain >= GAINS[0] else None
+
     def measure(self, window: bytes) -> tuple[int, int] | None:
-        """(cost under the toxic dictionary, gain over the ordinary one); None if it cannot be a hit."""
-        if window in self.known:
-            return self.known[window]
-        word, found = bare(window), None
-        if len(word) >= GAINS[0]:
-            cost = self._cost(0, word)
-            if cost <= COSTS[-1]:
-                gain = self._cost(1, word) - cost
-                found = (cost, gain) if gain >= GAINS[0] else None
-        if len(self.known) >= MEMO:
-            self.known.clear()
-        self.known[window] = found
-        return found
+        """What a window of one word is found to be."""
+        if window not in self.known:
+            if len(self.known) >= MEMO:
+                self.known.clear()
+            self.known[window] = self._found(bare(window))
+        return self.known[window]
+
+    def _pairs(self, words: list[bytes]) -> Iterator[tuple[int, int]]:
+        """Windows of two words; only such as the toxic dictionary holds side by side can be cheap under it.
+
+        The ordinary dictionary knows both words, so all that can be gained is one match in
+        two: the gain counts double.
+        """
+        for one, two in zip(words, words[1:]):
+            if one in self.led or (one := bare(one)) in self.led:
+                two = bare(two)
+                if two in self.led[one]:
+                    pair = one + b" " + two
+                    if pair not in self.known:
+                        self.known[pair] = self._found(pair, 2)
+                    if self.known[pair] is not None:
+                        yield self.known[pair]
 
     def profile(self, text: str | None) -> Counter:
         """How many windows of a text have each (cost, gain)."""
-        return Counter(m for m in map(self.measure, windows(text)) if m is not None)
+        words = windows(text)
+        found = Counter(m for m in map(self.measure, words) if m is not None)
+        if self.led:
+            found.update(self._pairs(words))
+        return found
 
 
 def hits(profile: Counter, cost: int, gain: int) -> int:
     return sum(n for (c, g), n in profile.items() if c <= cost and g >= gain)
 
 
-def _once(texts: list[str]) -> list[str]:
-    """Texts without those that begin like one before."""
-    return list({tuple(windows(t[:200])[:6]): t for t in texts}.values())
+def _dictionary(pieces: list[bytes], size: int, apart: Set[bytes] = frozenset()) -> bytes:
+    """A dictionary trained on runs of pieces; of few pieces, the pieces themselves, the commonest last.
 
-
-def _dictionary(pieces: list[bytes], size: int) -> bytes:
-    """A dictionary trained on runs of pieces; of few pieces, the pieces themselves, the commonest last."""
+    There, pairs that are to be kept ``apart`` do not become neighbours by accident.
+    """
     runs = [b" " + b" ".join(pieces[i : i + TOGETHER]) + b" " for i in range(0, len(pieces), TOGETHER)]
     distinct = [w for w, _ in reversed(Counter(pieces).most_common())]
+    for i in range(1, len(distinct) - 1):
+        if distinct[i - 1] + b" " + distinct[i] in apart:
+            distinct[i], distinct[i + 1] = distinct[i + 1], distinct[i]
     plain = b" " + b" ".join(distinct) + b" "
     if len(plain) <= size or len(runs) < 64:
         return plain[-size:]
@@ -134,20 +167,34 @@ def _dictionary(pieces: list[bytes], size: int) -> bytes:
         return plain[-size:]
 
 
+def _standing_out(toxic: list[list[bytes]], ordinary: list[list[bytes]], fewest: int) -> set[bytes]:
+    """The windows that a far larger share of the toxic texts has, and at least ``fewest`` of them."""
+    have, others = (Counter(w for text in texts for w in set(text)) for texts in (toxic, ordinary))
+    least = max(fewest, round(SHARED * len(toxic)))
+    rate = (len(toxic) + 1) / (len(ordinary) + 1)
+    return {w for w, n in have.items() if w and n >= least and n + 0.5 >= RATIO * rate * (others[w] + 0.5)}
+
+
+def _paired(words: list[bytes], apart: set[bytes]) -> list[bytes]:
+    return [a + b" " + b for a, b in zip(words, words[1:]) if a and b and a not in apart and b not in apart]
+
+
 def _contents(rows: list[tuple[str, int]]) -> tuple[bytes, bytes] | None:
     """The toxic and the ordinary dictionary of labelled texts."""
-    toxic = _once([t for t, y in rows if y])
-    ordinary = _once([t for t, y in rows if not y])
+    toxic, ordinary = ([[bare(w) for w in windows(t)] for t in dict.fromkeys(t for t, y in rows if bool(y) == side)] for side in (True, False))
     if not toxic or not ordinary:
         return None
-    plain = [bare(w) for t in ordinary for w in windows(t)]
-    common = set(plain)
-    shared = Counter(w for t in toxic for w in {bare(w) for w in windows(t)} - common if w)
-    least = max(2, round(SHARED * len(toxic)))
-    marked = [w for t in toxic for w in map(bare, windows(t)) if shared[w] >= least]
-    if not marked:
-        marked = [w for t in toxic for w in map(bare, windows(t)) if w not in common]
-    return _dictionary(marked, TOXIC_BYTES), _dictionary(plain, ORDINARY_BYTES)
+    marked = _standing_out(toxic, ordinary, 2)
+    pairs = _standing_out([_paired(t, marked) for t in toxic], [_paired(t, marked) for t in ordinary], 5)
+    found = [w for t in toxic for w in t if w in marked]
+    both = [p for t in toxic for p in _paired(t, marked) if p in pairs]
+    if not found and not both:  # too few texts to tell: what no ordinary text has
+        plain = {w for t in ordinary for w in t}
+        found = [w for t in toxic for w in t if w not in plain]
+    named = PAIR.join(p for p, _ in Counter(both).most_common())
+    if len(named) > BYTES // 2:
+        named = named[: BYTES // 2].rpartition(PAIR)[0]
+    return named + PAIRS + _dictionary(found, BYTES - len(named)), _dictionary([w for t in ordinary for w in t if w not in marked], BYTES, pairs)
 
 
 def fit(rows: list[tuple[str, int]], folds: int = FOLDS) -> Model | None:
@@ -202,8 +249,9 @@ def sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str, text
     known = known.filter(usable)
     drawn = known.filter("y = 1").orderBy("turn").limit(size).unionAll(known.filter("y = 0").orderBy("turn").limit(size))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.octet_length("text") <= LONGEST)
-    # At most 2 * size rows of two numbers are broadcast.
-    rows = texts.join(F.broadcast(drawn), "id").select("id", "y", "turn", "text").collect()
+    # At most 2 * size rows of two numbers are broadcast, and as many texts come back: one for each id.
+    met = texts.join(F.broadcast(drawn), "id").groupBy("id", "y", "turn").agg(F.min("text").alias("text"))
+    rows = met.collect()
     rows.sort(key=lambda r: (r["turn"], r["id"], r["text"]))
     return [(r["text"], r["y"]) for r in rows]
 

@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from meterline.llm.queries import importable  # noqa: E402
 
 # Names that operators use inside, as further columns of the input.
-CLASHES = "digest salt fp key row_id body size fraction bucket block shard spans score y seg kept start base root id turn".split()
+CLASHES = "digest salt fp key row_id body size fraction bucket block shard spans score y seg kept start base root id turn row doc copy copies node mix_id mix_copies mix_rows mix_each mix_turn gone".split()
 
 
 @pytest.fixture(scope="session", autouse=True)

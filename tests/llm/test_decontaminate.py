@@ -71,8 +71,8 @@ DOCS = ODD + [
 def test_against_all_windows(spark, make_docs, block, shard):
     bench = spark.createDataFrame([(i, t, "x") for i, t in ITEMS], "item_id long, text string, phrase string")
     got = dc.contamination(make_docs(*DOCS), bench, block=block, shard=shard).collect()
-    want = plain(DOCS, [x for x in ITEMS if x[0] is not None])
-    assert sorted(((r.doc_id, r.n_words, r.n_hit, list(r.items), r.contaminated) for r in got), key=str) == want
+    want = plain(DOCS, ITEMS)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, sorted(map(str, r.items)), r.contaminated) for r in got), key=str) == want
     for r in got:
         spans = [(s["first"], s["stop"]) for s in r.spans or []]
         assert sum(b - a for a, b in spans) == r.n_hit and spans == sorted(spans)
@@ -81,10 +81,19 @@ def test_against_all_windows(spark, make_docs, block, shard):
 def test_clean_documents_stay(spark, make_docs):
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
     kept = dc.keep_clean(make_docs(*DOCS), bench)
-    gone = {i for i, *_, bad in plain(DOCS, [x for x in ITEMS if x[0] is not None]) if bad}
+    gone = {i for i, *_, bad in plain(DOCS, ITEMS) if bad}
     assert sorted(r.doc_id or 0 for r in kept.collect()) == sorted(i or 0 for i, _ in DOCS if i not in gone)
 
 
+def test_rows_are_judged_by_their_own_texts(spark, make_docs):
+    """Several rows without an id and two texts under one id: only the dirty ones go."""
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    dirty = prose(70, 5) + " " + prose(50, 40)
+    rows = [(None, prose(71, 30)), (None, dirty), (None, prose(72, 30)), (7, prose(73, 9)), (7, dirty), (8, prose(74, 9)), (8, prose(74, 9))]
+    kept = dc.keep_clean(make_docs(*rows), bench)
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(((i, t) for i, t in rows if t != dirty), key=str)
+
+
 def test_items_without_an_id_are_searched(spark, make_docs, tmp_path):
     items = [*ITEMS, (None, prose(52, 20)), (7, prose(51, 13))]
     docs = [*DOCS, (30, prose(64, 20) + " " + prose(52, 20)), (31, "one " + prose(50, 40))]
@@ -93,7 +102,7 @@ def test_items_without_an_id_are_searched(spark, make_docs, tmp_path):
     bench = spark.createDataFrame(items, "item_id long, text string")
     bench.write.parquet(str(tmp_path / "benchmark.parquet"))
     want = plain(docs, items)
-    got = dc.contamination(made, bench, block=7, shard=64, unnamed=True).collect()
+    got = dc.contamination(made, bench, block=7, shard=64).collect()
     told = sorted(((r.doc_id, r.n_words, r.n_hit, sorted(map(str, r.items)), r.contaminated) for r in got), key=str)
     assert told == want
     found = queries.op7_decontaminate(spark, str(tmp_path))

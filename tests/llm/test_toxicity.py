@@ -76,3 +76,74 @@ def test_windows_cost_less_with_their_own_dictionary():
     meter = toxicity.Meter(b" ".join(w.encode() for w in BAD), b" ".join(prose(1, 300).encode().split()))
     assert all(meter.measure(w.encode()) is not None for w in BAD)
     assert meter.measure(b"be") is None and meter.measure("漢字漢字".encode()) is None
+
+
+def judged(made: list[tuple[str, int]]) -> tuple[float, float]:
+    """Recall and the share of clean texts left alone, on the half that was not learned from."""
+    model = toxicity.fit(made[::2])
+    meter = toxicity.Meter(model.toxic, model.ordinary)
+    scores = [(model.scores[min(len(model.scores) - 1, toxicity.hits(meter.profile(t), model.cost, model.gain))], y) for t, y in made[1::2]]
+    bad, good = [s for s, y in scores if y], [s for s, y in scores if not y]
+    return sum(s >= toxicity.CUT for s in bad) / len(bad), sum(s < toxicity.CUT for s in good) / len(good)
+
+
+def labelled(n: int, spoil) -> list[tuple[str, int]]:
+    rng = random.Random(21)
+    out = []
+    for i in range(n):
+        words, toxic = prose(5000 + i, 60).split(), rng.random() < 0.3
+        out.append((" ".join(spoil(words, toxic, rng)), int(toxic)))
+    return out
+
+
+def test_toxic_words_that_leak_into_ordinary_texts():
+    def spoil(words, toxic, rng):
+        for _ in range(4 if toxic else rng.random() < 0.02):
+            words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        return words
+
+    recall, alone = judged(labelled(1200, spoil))
+    assert recall > 0.95 and alone > 0.95
+
+
+def test_toxic_phrases_of_ordinary_words():
+    phrases = [("catdog", "elmfig"), ("gemhut", "inkjet"), ("kinlog", "mapnet")]
+
+    def spoil(words, toxic, rng):
+        for _ in range(4):
+            one, two = rng.choice(phrases)
+            if toxic:
+                at = rng.randrange(len(words))
+                words[at:at] = [one, two]
+            else:
+                words.insert(rng.randrange(len(words)), rng.choice([one, two]))
+        return words
+
+    recall, alone = judged(labelled(1200, spoil))
+    assert recall > 0.95 and alone > 0.95
+
+
+def test_mislabelled_texts():
+    def spoil(words, toxic, rng):
+        for _ in range(4 if toxic else 0):
+            words.insert(rng.randrange(len(words)), rng.choice(BAD))
+        return words
+
+    rng = random.Random(3)
+    made = labelled(1200, spoil)
+    learned = [(t, 1 - y if rng.random() < 0.03 else y) for t, y in made[::2]]
+    recall, alone = judged([x for pair in zip(learned, made[1::2]) for x in pair])
+    assert recall > 0.95 and alone > 0.95
+
+
+def test_texts_with_a_common_opening_all_teach():
+    made = [("the same opening words of all " + t, y) for t, y in labelled(800, lambda w, toxic, rng: [*w, *([rng.choice(BAD)] * 3 if toxic else [])])]
+    recall, alone = judged(made)
+    assert recall > 0.95 and alone > 0.95
+
+
+def test_the_sample_is_bounded_by_texts(spark, make_docs):
+    docs = make_docs(*[(1, f"text {i}") for i in range(500)], *[(2, f"other {i}") for i in range(500)])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    rows = toxicity.sample(docs, labels, toxicity.F.lit(True), "doc_id", "text", "toxic", 1)
+    assert sorted(rows) == [("other 0", 0), ("text 0", 1)]
