@@ -6,10 +6,14 @@ looking strings, and endpoints. A weak part is reported only if the parts it nee
 within ``SCOPE`` code points of it: an identifier needs a secret, a secret needs an
 identifier, an endpoint needs both.
 
-Linking is an interval join. Every text is cut into bins of one scope; per role a bin
-keeps the first and last begin of its parts, which is all that the question needs (a part
-of the same bin is near by definition, and of a neighbouring bin the nearest one decides).
-So a weak part meets at most three rows per role, however crowded its text is.
+Parts are complementary only if they are different text: a partner must not overlap the part
+that asks, and a secret and an identifier that complete an endpoint must not overlap each
+other. Where a weak part overlaps a part that says more, it is the same text and counts as that
+part alone: a random looking string within anything else, a named identifier within a plain kind.
+
+Linking is an interval join on bins of one scope. Matches of one kind do not overlap and have
+a least length, so a bin has a bounded number of parts, and a weak part meets no more than
+those of three bins, however crowded its text is.
 
 Defined cases: a null text counts as empty; a null id is an id like any other; rows that
 repeat an id and text each give a row, with equal results; an empty table gives an empty
@@ -38,13 +42,17 @@ VALUE_LEAST = 6
 # Parts that only count in company, by the role they play.
 WEAK = {
     "id": r"""(?:\b(?i:access_?key(?:_?id)?|client_?id|account|user(?:name)?|login)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@+/_.=-]{3,}|\b(?:AKIA|ASIA)[A-Z0-9]{8,})""",
-    "key": r"\b(?=[A-Za-z+/_-]{0,38}[0-9])(?=[0-9a-z+/_-]{0,38}[A-Z])[A-Za-z0-9+/_-]{20,}+={0,2}",
+    "key": r"\b[A-Za-z0-9+/_-]{20,}+={0,2}",
     "endpoint": r"""(?:\b(?i:https?|jdbc:[a-z]{2,16}|ssh|ftp|amqp|mongodb|redis|postgres(?:ql)?|mysql)://[^\s"'<>]{3,}|\b(?i:host|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9.-]{3,})""",
 }
 KINDS = (*BASE, *WEAK)
 ROLES = {"assign": "secret", "hex": "secret", "key": "secret", "access": "identifier", "id": "identifier", "endpoint": "endpoint"}
 NEEDS = {"id": ("secret",), "key": ("identifier",), "endpoint": ("secret", "identifier")}
 
+# A key is random looking if it has these, wherever they stand.
+KEY_HAS = ("[0-9]", "[A-Z]")
+SAYS_MORE = {"id": tuple(BASE), "key": (*BASE, "id", "endpoint")}
+
 TAG = "array<struct<start:int,rank:int,kind:string,end:int>>"
 
 
@@ -60,7 +68,10 @@ def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("row_id", F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("~")), "text")))
     found = with_matches(rows, "text", BASE | WEAK, _gates(F.col("text")))
-    kept = {"assign": F.filter("assign", lambda s: F.length(F.regexp_extract(s["value"], VALUE, 1)) >= VALUE_LEAST)}
+    kept = {
+        "assign": F.filter("assign", lambda s: F.length(F.regexp_extract(s["value"], VALUE, 1)) >= VALUE_LEAST),
+        "key": F.filter("key", lambda s: s["value"].rlike(KEY_HAS[0]) & s["value"].rlike(KEY_HAS[1])),
+    }
     found = found.withColumns(kept)
     return found.select("doc_id", "row_id", *[tagged(k, i, F.col(k)).alias(k) for i, k in enumerate(KINDS)])
 
@@ -69,29 +80,45 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     """(row_id, weak): the weak parts in whose scope the parts they need occur."""
     secret, identifier = (sum((F.size(k) for k in KINDS if ROLES[k] == r), F.lit(0)) for r in ("secret", "identifier"))
     able = found.filter((secret > 0) & (identifier > 0))
-    every = able.select("row_id", F.explode(F.concat(*KINDS)).alias("s")).select("row_id", "s.*")
-    every = every.distinct()
+    every = able.select("row_id", F.explode(F.concat(*KINDS)).alias("s")).select("row_id", "s.*").distinct()
+    parts = _apart(every, scope)
     role = F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[F.col("kind")]
-    bins = (
-        every.withColumns({"role": role, "bin": F.floor(F.col("start") / scope)})
-        .groupBy("row_id", "role", "bin")
-        .agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    )
+    partners = parts.select("row_id", role.alias("role"), F.floor(F.col("start") / scope).alias("bin"), F.col("start").alias("p"), F.col("end").alias("q"))
     needs = F.create_map(*[x for k, r in NEEDS.items() for x in (F.lit(k), F.array(*map(F.lit, r)))])[F.col("kind")]
-    weak = every.filter(F.col("kind").isin(*WEAK)).withColumn("role", F.explode(needs))
+    weak = parts.filter(F.col("kind").isin(*WEAK)).withColumn("role", F.explode(needs))
     at = F.floor(F.col("start") / scope)
     asks = weak.withColumn("bin", F.explode(F.array(at - 1, at, at + 1)))
-    near = (F.col("first") <= F.col("start") + scope) & (F.col("last") >= F.col("start") - scope)
-    met = asks.join(bins, ["row_id", "role", "bin"]).filter(near)
-    counted = met.groupBy("row_id", "start", "rank", "kind", "end").agg(F.count_distinct("role").alias("met"))
-    full = F.create_map(*[F.lit(x) for k, r in NEEDS.items() for x in (k, len(r))])[F.col("kind")]
+    near = F.abs(F.col("p") - F.col("start")) <= scope
+    other = (F.col("q") <= F.col("start")) | (F.col("p") >= F.col("end"))
+    met = asks.join(partners, ["row_id", "role", "bin"]).filter(near & other)
+    of = lambda role, value: F.when(F.col("role") == role, F.col(value))
+    ends = met.groupBy("row_id", "start", "rank", "kind", "end").agg(
+        *[x for r in ("secret", "identifier") for x in (F.min(of(r, "q")).alias(f"{r}_ends"), F.max(of(r, "p")).alias(f"{r}_begins"))]
+    )
+    # Two of different roles that do not overlap: the first to end does so before the last of the other role begins.
+    both = F.coalesce(F.col("secret_ends") <= F.col("identifier_begins"), F.lit(False)) | F.coalesce(
+        F.col("identifier_ends") <= F.col("secret_begins"), F.lit(False)
+    )
     return (
-        counted.filter(F.col("met") == full)
+        ends.filter((F.col("kind") != "endpoint") | both)
         .groupBy("row_id")
         .agg(F.collect_list(F.struct("start", "rank", "kind", "end")).alias("weak"))
     )
 
 
+def _apart(every: DataFrame, scope: int) -> DataFrame:
+    """The parts without weak ones that overlap a part that says more; both meet in the bins they cover."""
+    covered = F.explode(F.sequence(F.floor(F.col("start") / scope), F.floor((F.col("end") - 1) / scope))).alias("bin")
+    more = F.create_map(*[x for k, kinds in SAYS_MORE.items() for x in (F.lit(k), F.array(*map(F.lit, kinds)))])[F.col("kind")]
+    less = every.filter(F.col("kind").isin(*SAYS_MORE)).select("*", covered, more.alias("more"))
+    others = every.filter(F.col("kind") != "key").select(
+        F.col("row_id"), covered, F.col("kind").alias("by"), F.col("start").alias("p"), F.col("end").alias("q")
+    )
+    over = F.array_contains("more", F.col("by")) & (F.col("p") < F.col("end")) & (F.col("start") < F.col("q"))
+    lost = less.join(others, ["row_id", "bin"]).filter(over).select("row_id", "start", "rank").distinct()
+    return every.join(lost, ["row_id", "start", "rank"], "left_anti")
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """Per document: doc_id, base (spans of the three kinds), weak (linked parts), each an
     array of (start, rank, kind, end) in order of place."""
