@@ -21,6 +21,9 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
+from typing import Literal
 from urllib.parse import quote
 
 import pandas as pd
@@ -39,6 +42,7 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
 BIN = 1 << 20
 FILE_RECORDS = 50_000
+TOLD = 5  # breaks that an error names
 
 RECORDS = (
     "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -233,9 +237,37 @@ def reached(links: DataFrame) -> DataFrame:
     return found
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+class DamagedArchive(ValueError):
+    """Archives whose chain of records breaks; ``places`` has (file, byte offset) of up to ``TOLD`` of them."""
+
+    def __init__(self, places: list[tuple[str, int]]):
+        super().__init__("; ".join(f"{file}: no whole record at byte {at}" for file, at in places))
+        self.places = places
+
+
+def _breaks(candidates: DataFrame, chain: DataFrame, starts: DataFrame) -> list[tuple[str, int]]:
+    """Where the chains of files end before the files do: a record that points to no record, or beyond the end."""
+    files = starts.groupBy("file").agg(F.min("base").alias("base"), F.max("stop").alias("stop")).filter("stop > base")
+    held = candidates.select("at", (F.col("at") + F.col("span") <= F.col("stop")).alias("inside"))
+    lost = chain.join(held, "at", "left").filter(~F.coalesce("inside", F.lit(False))).select("at")
+    lost = lost.join(files.select(F.col("stop").alias("at")), "at", "left_anti")
+    # A file that does not begin with a record has no first candidate.
+    headless = files.join(candidates.filter("block = 0").filter(F.col("rel") == len(MAGIC)).select("file"), "file", "left_anti").select(F.col("base").alias("at"))
+    places = [r["at"] for r in lost.unionAll(headless).orderBy("at").limit(TOLD).collect()]
+    if not places:
+        return []
+    told = files.filter(reduce(or_, [(F.col("base") <= at) & (F.col("stop") > at) for at in places])).collect()
+    return [(r["file"], at - r["base"]) for at in places for r in told if r["base"] <= at < r["stop"]]
+
+
+def read_archives(spark: SparkSession, path: str, damaged: Literal["raise", "skip"] = "raise") -> DataFrame:
     """The records of the archives below path: page_id, payload_bytes, payload_digest,
-    record_type, refers_to, and whether the digest stated in the head is that of the payload."""
+    record_type, refers_to, and whether the digest stated in the head is that of the payload.
+
+    The chain of every file has to end where the file does. Where one breaks, for the file was
+    cut or changed, :class:`DamagedArchive` tells the places, or with "skip" the whole records
+    before the break are returned. A record that is not whole is never a row.
+    """
     where = fresh_path(spark, "candidates")
     _raw_pieces(spark, path).mapInPandas(_candidates, PIECES).write.parquet(where)
     pieces = spark.read.parquet(where)
@@ -248,9 +280,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         "at", (F.col("at") + F.col("span")).alias("to"), first.alias("first")
     )
     chain = reached(links)
+    if damaged == "raise" and (places := _breaks(candidates, chain, starts)):
+        raise DamagedArchive(places)
     fields = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "stated_digest"]
     where = fresh_path(spark, "records")
-    candidates.join(chain, "at").select("at", "span", "whole", *fields).write.parquet(where)
+    inside = F.col("at") + F.col("span") <= F.col("stop")
+    candidates.filter(inside).join(chain, "at").select("at", "span", "whole", *fields).write.parquet(where)
     records = spark.read.parquet(where)
     out = records.filter("whole").select(*fields)
 
@@ -270,7 +305,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         )
         again = joined.mapInPandas(_reassembled, f"at long, {RECORDS}, stated_digest string")
         out = out.unionByName(again.select(*fields))
-    return out.select(*fields[:5], F.col("stated_digest").eqNullSafe(F.col("payload_digest")).alias("digest_holds"))
+    return out.select(*fields[:5], F.coalesce(F.col("stated_digest") == F.col("payload_digest"), F.lit(False)).alias("digest_holds"))
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", text_col: str = "html", url_col: str = "url", least_bytes: int = 0, codec: str = "gzip") -> DataFrame:

@@ -61,3 +61,41 @@ def test_base32_agrees_with_the_library(spark):
     text = "grüße"
     got = spark.sql(f"SELECT '{text}' AS t").select(warc.sha1_base32(warc.F.col("t"))).first()[0]
     assert got == base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+
+
+def damaged_copies(spark, tmp_path, change) -> str:
+    """A folder with one plain archive of ten records, as it is, and one changed."""
+    df = spark.createDataFrame([(i, "u", f"payload {i} " + "z" * 500) for i in range(10)], "page_id long, url string, html string")
+    warc.write_archives(df.coalesce(1), str(tmp_path / "made"), codec="none")
+    (file,) = [f for f in (tmp_path / "made").iterdir() if f.name.startswith("part-")]
+    folder = tmp_path / "read"
+    folder.mkdir()
+    raw = file.read_bytes()
+    (folder / "a.warc").write_bytes(raw)
+    (folder / "b.warc").write_bytes(change(raw))
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    ("change", "whole"),
+    [
+        (lambda raw: raw[:-30], 9),  # cut within the last record
+        (lambda raw: raw[: len(raw) // 2 + 100], 5),  # within the head of the sixth
+        (lambda raw: raw.replace(b"payload 4 z", b"payload 4 zz"), None),  # one byte more than the head says
+        (lambda raw: b"x" + raw, 0),
+        (lambda raw: raw + b"junk behind the last record", 10),
+    ],
+)
+def test_damaged_archives_are_told(spark, tmp_path, change, whole):
+    folder = damaged_copies(spark, tmp_path, change)
+    with pytest.raises(warc.DamagedArchive, match="b.warc") as told:
+        warc.read_archives(spark, folder)
+    assert len(told.value.places) == 1 and told.value.places[0][0].endswith("b.warc")
+    got = warc.read_archives(spark, folder, damaged="skip").collect()
+    assert (len(got) == 10 + whole if whole is not None else 10 < len(got) <= 20) and all(r.digest_holds and r.page_id is not None for r in got)
+
+
+def test_a_changed_payload_fails_its_digest(spark, tmp_path):
+    folder = damaged_copies(spark, tmp_path, lambda raw: raw.replace(b"payload 4 z", b"payload 4 y"))
+    got = warc.read_archives(spark, folder).collect()
+    assert len(got) == 20 and [r.page_id for r in got if not r.digest_holds] == [4]
