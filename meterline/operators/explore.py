@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.numeric import clip, percent
-from meterline.functions.text import decode
+from meterline.functions.text import decode, encode
 from meterline.operators.reports import mean_from, sums_of
 from meterline.schema import EXPLORER_PAYMENT_LABELS, LABEL, MONTH
 
@@ -40,12 +40,11 @@ class Filters:
         return reduce(and_, terms, F.lit(True))
 
 
-def _payment_code(choice: str) -> int:
-    codes = {text: code for code, text in EXPLORER_PAYMENT_LABELS.items()}
-    if choice in codes:
-        return codes[choice]
+def _payment_code(choice: str) -> Column:
+    if choice in EXPLORER_PAYMENT_LABELS.values():
+        return encode(F.lit(choice), EXPLORER_PAYMENT_LABELS)
     if choice.isdecimal():
-        return int(choice)
+        return F.lit(int(choice))
     raise ValueError(f"unknown payment type: {choice}")
 
 

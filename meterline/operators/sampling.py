@@ -11,8 +11,9 @@ from pyspark.sql.types import MapType, UserDefinedType, VariantType
 
 from meterline.functions.hashing import HASH_BITS, HASH_SPACE, row_hash
 
-# The upper bits of the hash tell this many coarse classes apart.
-_CLASS_BITS = 16
+# Bits of the hash that each round of a search for one hash tells apart, from the upper ones on.
+_ROUNDS = (16, 18, 18)
+assert sum(_ROUNDS) == HASH_BITS
 
 
 def bernoulli(df: DataFrame, fraction: float, seed: int = 42, by: Column | None = None) -> DataFrame:
@@ -26,25 +27,44 @@ def bernoulli(df: DataFrame, fraction: float, seed: int = 42, by: Column | None
     return df.filter(by < F.lit(int(fraction * HASH_SPACE)))
 
 
+def nth_hash(df: DataFrame, n: int, by: Column) -> tuple[int, int] | None:
+    """The n-th least hash of the rows, and how many rows have a lesser one; None if there are fewer rows.
+
+    Each round counts the rows of equal parts of the range that holds the hash, at most 2^18
+    of them, and goes on with the part that the n-th row falls into. Only those counts meet
+    in one task; one row a round comes back.
+    """
+    hashed = df.select(by.alias("hash"))
+    low, width, below = 0, HASH_SPACE, 0
+    for bits in _ROUNDS:
+        width >>= bits
+        inside = (F.col("hash") >= low) & (F.col("hash") < low + (width << bits))
+        part = F.expr(f"(hash - {low}L) div {width}L")
+        sizes = hashed.filter(inside).groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("size"))
+        upto = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0))
+        found = sizes.withColumn("upto", upto).filter(F.col("upto") + below >= n).orderBy("part").first()
+        if found is None:
+            return None
+        low, below = low + found["part"] * width, below + found["upto"] - found["size"]
+    return low, below
+
+
 def fixed_size(df: DataFrame, n: int, by: Column) -> DataFrame:
     """Exactly ``n`` rows (all, if there are fewer): those of least hash.
 
-    The hash classes are counted first, at most 2^16 of them. Only rows of the classes
-    that are needed to reach ``n`` are sorted, so far fewer rows than the table has
-    reach the final merge.
+    The hash of the n-th row is found first, so taking the rows is a filter in whatever
+    tasks they are, however many. Only rows of that very hash are put in order, by their
+    columns, as not all of them may be taken.
     """
+    if n <= 0:
+        return df.limit(0)
+    found = nth_hash(df, n, by)
+    if found is None:
+        return df
+    last, below = found
     hashed = df.withColumn("_hash", by)
-    coarse = F.shiftright(F.col("_hash"), HASH_BITS - _CLASS_BITS)
-    sizes = hashed.groupBy(coarse.alias("class")).agg(F.count(F.lit(1)).alias("size"))
-    upto = F.sum("size").over(Window.orderBy("class").rowsBetween(Window.unboundedPreceding, 0))
-    enough = (
-        sizes.withColumn("upto", upto)
-        .filter(F.col("upto") >= n)
-        .agg(F.min("class").alias("class"))
-    )
-    last = F.coalesce(enough.scalar(), F.lit(1 << _CLASS_BITS).cast("long"))
-    order = ["_hash", *[c for c in df.columns if _sortable(df, c)]]
-    return hashed.filter(coarse <= last).orderBy(*order).limit(n).drop("_hash")
+    ties = hashed.filter(F.col("_hash") == last).orderBy(*[F.col(f"`{c}`") for c in df.columns if _sortable(df, c)]).limit(n - below)
+    return hashed.filter(F.col("_hash") < last).unionAll(ties).drop("_hash")
 
 
 def _sortable(df: DataFrame, column: str) -> bool:

@@ -436,6 +436,35 @@ def lookup_csv_roundtrip(spark, folder):
     return readers.read_lookup(spark, path)
 
 
+def _zones_with_bad_lines(spark: SparkSession, folder: str) -> str:
+    """The same lookup as text, in which some lines have a field too many, one too few, or a word for a number."""
+    key = F.col("c_custkey")
+    zone = F.concat(F.lit('"'), F.col("c_name"), F.lit(', "'))
+    usual = [key.cast("string"), F.col("c_mktsegment"), F.regexp_replace(zone, ', "', ', x"'), F.col("c_nationkey").cast("string")]
+    line = (
+        F.when(key % 11 == 0, F.concat_ws(",", *usual, F.lit("more")))
+        .when(key % 13 == 0, F.concat_ws(",", *usual[:3]))
+        .when(key % 17 == 0, F.concat_ws(",", F.lit("none"), *usual[1:]))
+        .otherwise(F.concat_ws(",", *usual))
+    )
+    path = scratch.fresh_path(spark, "zones")
+    table(spark, folder, "customer").select(line.alias("value")).write.text(path)
+    return path
+
+
+@query
+def lookup_with_bad_lines(spark, folder):
+    """The good lines of a lookup."""
+    return readers.read_lookup_checked(spark, _zones_with_bad_lines(spark, folder), header=False)[0]
+
+
+@query
+def lookup_rejects(spark, folder):
+    """The bad lines of a lookup, and why they were rejected."""
+    rejects = readers.read_lookup_checked(spark, _zones_with_bad_lines(spark, folder), header=False)[1]
+    return rejects.select("line", "reason")
+
+
 def _written(spark: SparkSession, folder: str) -> str:
     path = scratch.fresh_path(spark, "clean")
     writers.write_partitioned(cleaning.clean_columns(_clean(spark, folder)), path)

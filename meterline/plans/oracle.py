@@ -487,6 +487,14 @@ def statements() -> dict[str, str]:
               AS source_month FROM orders""",
         "lookup_csv_roundtrip": """SELECT c_custkey AS locationid, c_mktsegment AS borough,
             c_name AS zone, CAST(c_nationkey AS VARCHAR) AS service_zone FROM customer""",
+        "lookup_with_bad_lines": """SELECT c_custkey AS locationid, c_mktsegment AS borough, c_name || ', x' AS zone,
+            CAST(c_nationkey AS VARCHAR) AS service_zone FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0""",
+        "lookup_rejects": """SELECT
+              CASE WHEN c_custkey % 11 = 0 THEN line || ',more' WHEN c_custkey % 13 = 0 THEN head ELSE 'none' || line[len(c_custkey::VARCHAR) + 1:] END AS line,
+              CASE WHEN c_custkey % 11 = 0 THEN '5 fields instead of 4' WHEN c_custkey % 13 = 0 THEN '3 fields instead of 4' ELSE 'locationid is no bigint' END AS reason
+            FROM (SELECT *, head || ',' || c_nationkey AS line FROM (
+              SELECT c_custkey, c_nationkey, c_custkey || ',' || c_mktsegment || ',"' || c_name || ', x"' AS head FROM customer))
+            WHERE c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0""",
         "rule_scored": f"""{_FROM_SCORED} SELECT {_KEYS}, prediction, confidence,
             'rule_based_fallback' AS inference_method FROM scored""",
         "rule_scored_night": f"""{_FROM_CLEAN}, {_scored("(pickup_hour >= 18 OR pickup_hour < 6)")}

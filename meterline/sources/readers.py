@@ -8,9 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructField, StructType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from meterline import scratch
 from meterline.schema import MONTH
@@ -109,6 +109,41 @@ def read_lookup(
     return table.toDF(*contract.lower_names(table.columns))
 
 
+REJECT = "_rejected"
+
+
+def read_lookup_checked(spark: SparkSession, path: str, schema: str = ZONE_SCHEMA, header: bool = True) -> tuple[DataFrame, DataFrame] | None:
+    """A CSV lookup as (table, rejects); None where there is no such file.
+
+    A line that does not fit the schema is no row of nulls: it goes to the rejects, with its
+    file, the line itself, and why: how many fields it has, or which column is of another type.
+    """
+    if not scratch.path_exists(spark, path):
+        return None
+    wanted = StructType.fromDDL(schema)
+    reader = spark.read.option("header", header).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", REJECT)
+    lines = reader.schema(StructType([*wanted.fields, StructField(REJECT, StringType())])).csv(path)
+    told = lines.select("*", F.col("_metadata.file_path").alias("_file"))
+    good = told.filter(F.col(REJECT).isNull()).select(*[F.col(f.name).alias(f.name.lower()) for f in wanted.fields])
+    bad = told.filter(F.col(REJECT).isNotNull()).select(F.col("_file").alias("file"), F.col(REJECT).alias("line"), _reason(F.col(REJECT), wanted).alias("reason"))
+    return good, bad
+
+
+def _reason(line: Column, wanted: StructType) -> Column:
+    """Why a line does not fit: the fields it has as text, beside the columns that were read from it."""
+    spare = "_more"
+    texts = ", ".join([*[f"`{f.name}` string" for f in wanted.fields], f"`{spare}` string"])
+    fields = F.from_csv(line, F.lit(texts))
+    named = [f.name for f in wanted.fields]
+    size = F.size(F.split(F.regexp_replace(line, '"[^"]*"', ""), ",", -1))
+    wrong = [
+        F.when(fields[f.name].isNotNull() & F.col(f"`{f.name}`").isNull(), F.lit(f"{f.name.lower()} is no {f.dataType.simpleString()}"))
+        for f in wanted.fields
+    ]
+    counted = F.when(size != len(named), F.concat(size.cast("string"), F.lit(f" fields instead of {len(named)}")))
+    return F.coalesce(counted, *wrong, F.lit("not readable"))
+
+
 def read_table(spark: SparkSession, path: str, month: str | None = None) -> DataFrame:
     """A partitioned table, or one month of it (only that folder is read)."""
     table = spark.read.parquet(path)

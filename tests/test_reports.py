@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from meterline.functions import hashing
 from meterline.operators import cleaning, explore, profile, reports, sampling
 from meterline.schema import TripLimits
 
@@ -159,3 +160,17 @@ def test_bernoulli(spark):
     assert 850 < sampling.bernoulli(table, 0.1, by=hashed()).count() < 1_150
     assert 850 < sampling.bernoulli(table, 0.1).count() < 1_150
     assert sum(p.count() for p in sampling.random_split(table, [0.8, 0.2])) == 10_000
+
+
+def test_the_nth_hash_and_equal_rows(spark):
+    """Ties at the last hash: as many of the equal rows as fit, in any layout; no task sorts all rows."""
+    table = spark.range(5000).select((F.col("id") % 100).alias("k"), (F.col("id") % 3).alias("v"))
+    by = hashing.row_hash(["k"])
+    for n in (0, 1, 49, 50, 51, 1234, 4999, 5000, 6000):
+        ways = [sorted(map(tuple, sampling.fixed_size(df, n, by).collect())) for df in (table, table.repartition(9))]
+        assert ways[0] == ways[1] and len(ways[0]) == min(n, 5000)
+    order = sorted(r[0] for r in table.select(by).collect())
+    for n in (1, 50, 51, 5000):
+        last, below = sampling.nth_hash(table, n, by)
+        assert last == order[n - 1] and below == sum(h < last for h in order)
+    assert sampling.nth_hash(table, 5001, by) is None and sampling.nth_hash(table.limit(0), 1, by) is None

@@ -181,3 +181,13 @@ def test_an_error_without_text_still_falls_back(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(writers, "write_jdbc", fail)
     sent = writers.deliver_report(spark.range(2).toDF("n"), "t", "jdbc:x", {}, str(tmp_path / "t"))
     assert (sent.kind, sent.told()) == ("csv", "csv fallback: RuntimeError")
+
+
+def test_bad_lines_of_a_lookup_are_rejected_with_reasons(spark, tmp_path):
+    path = tmp_path / "zones.csv"
+    path.write_text('LocationID,Borough,Zone,service_zone\n1,B,"a, b",x\ntwo,B,Z,x\n3,B,Z\n4,B,Z,x,y\n5,,Z,\n')
+    good, bad = readers.read_lookup_checked(spark, str(path))
+    assert sorted(map(tuple, good.collect()), key=str) == [(1, "B", "a, b", "x"), (5, None, "Z", None)]
+    got = sorted((r.line, r.reason) for r in bad.collect())
+    assert got == [("3,B,Z", "3 fields instead of 4"), ("4,B,Z,x,y", "5 fields instead of 4"), ("two,B,Z,x", "locationid is no bigint")]
+    assert bad.first().file.endswith("zones.csv") and readers.read_lookup_checked(spark, str(tmp_path / "none.csv")) is None
