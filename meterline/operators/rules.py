@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meterline.functions.numeric import rounds_into
 from meterline.functions.temporal import elapsed_seconds, within_days
 from meterline.functions.trip import speed_from_minutes
+from meterline.operators.content import observed
 from meterline.schema import DROPOFF, PICKUP, REQUEST_DEFAULTS, RequestLimits, TripLimits
 
 
@@ -148,3 +149,35 @@ def quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFra
     """Valid rows, and rejected rows with the names of the rules they fail."""
     rejected = tag_violations(df, rules).filter(F.size("violations") > 0)
     return keep_valid(df, rules), rejected
+
+
+@dataclass(frozen=True)
+class SortedOut:
+    """What one pass over a table left: valid rows, rejected ones with the rules they fail, and the audit."""
+
+    valid: DataFrame
+    rejected: DataFrame
+    audit: DataFrame
+
+
+def sort_out(df: DataFrame, rules: Sequence[Rule], path: str, by: Sequence[str] = ()) -> SortedOut:
+    """Write valid and rejected rows below ``path`` and count failures, all in one scan and one commit.
+
+    Rows go to a folder for each outcome and, within it, for each value of ``by``. The counts
+    are taken by the tasks that write, so a task that runs again does not count twice. The
+    three results are those of :func:`quarantine` and :func:`audit`.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows_total"), *[F.count_if(F.array_contains("violations", r.name)).alias(r.name) for r in rules]]
+    outcome = F.when(F.size("violations") == 0, "valid").otherwise("rejected")
+    routed = tag_violations(df, rules).withColumn("outcome", outcome)
+    routed.observe(seen, *counts).write.mode("overwrite").partitionBy("outcome", *by).parquet(path)
+    back = spark.read.schema(routed.schema).parquet(path)
+    told = observed(seen)
+    rows = [(told.get("rows_total", 0), r.name, told.get(r.name, 0)) for r in rules]
+    return SortedOut(
+        back.filter("outcome = 'valid'").select(*[f"`{c}`" for c in df.columns]),
+        back.filter("outcome = 'rejected'").select(*[f"`{c}`" for c in df.columns], "violations"),
+        spark.createDataFrame(rows, "rows_total long, rule string, rows_failed long"),
+    )

@@ -185,6 +185,21 @@ def quarantine_counts(spark, folder):
     return reports.group_sizes(rejected.select(F.explode("violations").alias("rule")), "rule")
 
 
+@query
+def sorted_out_audit(spark, folder):
+    """The audit that the write of valid and rejected trips took along."""
+    return rules.sort_out(trips(spark, folder), _all_rules(), scratch.fresh_path(spark, "sorted"), [MONTH]).audit
+
+
+@query
+def sorted_out_requests(spark, folder):
+    """Valid requests and rejected ones by rule, as one pass wrote them."""
+    done = rules.sort_out(_requests(spark, folder), rules.request_rules(), scratch.fresh_path(spark, "sorted"))
+    valid = done.valid.select(F.lit("accepted").alias("rule"))
+    failed = done.rejected.select(F.explode("violations").alias("rule"))
+    return reports.group_sizes(valid.unionAll(failed), "rule")
+
+
 @query
 def null_counts(spark, folder):
     return profile.null_counts(trips(spark, folder))

@@ -379,6 +379,10 @@ def statements() -> dict[str, str]:
             SELECT rule, count(*) AS row_count
             FROM (SELECT unnest(string_split(violations, ',')) AS rule FROM checked
                   WHERE violations <> '') GROUP BY ALL""",
+        "sorted_out_audit": f"{_FROM_DERIVED} {_audit(_RULES, 'derived')}",
+        "sorted_out_requests": f"""{_FROM_REQUESTS}
+            SELECT rule, count(*) AS row_count
+            FROM (SELECT unnest(string_split(CASE WHEN violations = '' THEN 'accepted' ELSE violations END, ',')) AS rule FROM checked) GROUP BY ALL""",
         "null_counts": f"{_FROM_TRIPS} SELECT {null_columns} FROM trips",
         "null_defaults_profile": f"""{_FROM_TRIPS}
             SELECT coalesce(passenger_count, 1) AS passenger_count,

@@ -173,3 +173,16 @@ def test_filters_reach_the_scan(spark, make_trips, tmp_path):
     lean = cleaning.clean_rows(raw, copies=True).groupBy("time_of_day").agg(F.avg("tip_pct"))
     schema = plan_text(lean).split("ReadSchema: ")[1].splitlines()[0]
     assert "congestion_surcharge" not in schema and "extra" not in schema
+
+
+def test_one_pass_sorts_out_and_counts(spark, make_trips, tmp_path):
+    """The same rows and counts as the separate passes; nulls, an empty table, and rows of several months."""
+    rows = make_trips({}, {"fare_amount": -1.0}, {"fare_amount": None, "tip_amount": -2.0}, {"payment_type": 9}, {"source_month": None}, {"source_month": "2023-04"})
+    named = rules.trip_rules()
+    done = rules.sort_out(rows, named, str(tmp_path / "a"), ["source_month"])
+    valid, rejected = rules.quarantine(rows, named)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(done.valid) == key(valid) and key(done.rejected) == key(rejected.select(*done.rejected.columns))
+    assert key(done.audit) == key(rules.audit(rows, named).select(*done.audit.columns))
+    none = rules.sort_out(rows.limit(0), named, str(tmp_path / "b"))
+    assert none.valid.count() == none.rejected.count() == 0 and {r.rows_failed for r in none.audit.collect()} == {0}
