@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from meterline import scratch
 from meterline.functions.hashing import portable_hash, row_hash
 from meterline.functions.temporal import day_part, elapsed_seconds, weekend_flag
-from meterline.ml import features, models
+from meterline.ml import categories, features, models
 from meterline.operators import (
     cleaning,
     evaluation,
@@ -822,6 +822,20 @@ def etl_run_report(spark, folder):
     return report.drop("seconds")
 
 
+@query
+def category_positions(spark, folder):
+    """Positions of all parts by how often they are ordered: more categories than a driver should hold."""
+    return categories.category_ranks(table(spark, folder, "lineitem"), "l_partkey")
+
+
+@query
+def category_positions_of_lines(spark, folder):
+    """Order lines by the position of their part: the 50 commonest by themselves, the rest in one."""
+    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    placed = categories.with_positions(lines, "l_partkey", categories.category_ranks(lines, "l_partkey"), "position", head=50)
+    return reports.group_sizes(placed, "position")
+
+
 @query
 def months_summary(spark, folder):
     """The summary of a store that first got half of the rows and then all of them."""

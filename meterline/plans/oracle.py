@@ -491,6 +491,12 @@ def statements() -> dict[str, str]:
               AS source_month FROM orders""",
         "lookup_csv_roundtrip": """SELECT c_custkey AS locationid, c_mktsegment AS borough,
             c_name AS zone, CAST(c_nationkey AS VARCHAR) AS service_zone FROM customer""",
+        "category_positions": """SELECT category, n AS rows, row_number() OVER (ORDER BY n DESC, category) - 1 AS position
+            FROM (SELECT CAST(l_partkey AS VARCHAR) AS category, count(*) AS n FROM lineitem GROUP BY ALL)""",
+        "category_positions_of_lines": """WITH ranked AS (
+              SELECT n, row_number() OVER (ORDER BY n DESC, category) - 1 AS position
+              FROM (SELECT CAST(l_partkey AS VARCHAR) AS category, count(*) AS n FROM lineitem GROUP BY ALL))
+            SELECT CAST(least(position, 50) AS DOUBLE) AS position, CAST(sum(n) AS BIGINT) AS row_count FROM ranked GROUP BY ALL""",
         "lookup_with_bad_lines": """SELECT c_custkey AS locationid, c_mktsegment AS borough, c_name || ', x' AS zone,
             CAST(c_nationkey AS VARCHAR) AS service_zone FROM customer WHERE c_custkey % 11 <> 0 AND c_custkey % 13 <> 0 AND c_custkey % 17 <> 0""",
         "lookup_rejects": """SELECT
