@@ -339,10 +339,13 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, with their own columns; every row is judged by its own text."""
-    spark, path = docs.sparkSession, fresh_path(docs.sparkSession, "documents")
-    # Written once, so a row has one key however often the table is read.
-    docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")).write.parquet(path)
-    held = spark.read.parquet(path)
-    found = contamination(held.select("row", F.col(f"doc.`{text_col}`").alias("body")), benchmark, "row", "body").filter("contaminated")
-    return held.join(found.select(F.col("doc_id").alias("row")), "row", "left_anti").select("doc.*")
+    """The documents that are not contaminated, with their own columns.
+
+    Every row is judged by its own text, whatever its id: what is searched, and what goes,
+    is named by a hash of the text.
+    """
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    held = docs.select(F.struct("*").alias("doc"), F.xxhash64(text).alias("named"))
+    found = contamination(docs.select(F.xxhash64(text).alias("named"), text.alias("body")), benchmark, "named", "body")
+    gone = found.filter("contaminated").select(F.col("doc_id").alias("named")).distinct()
+    return held.join(gone, "named", "left_anti").select("doc.*")

@@ -177,10 +177,22 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", leaf: int = LEAF, fan: int = FAN) -> DataFrame:
-    """The mix as documents: each row as often as it is taken, with its own columns, whatever their names."""
-    # Written once, so a row has one key however often the table is read.
-    held = _kept(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "documents")
-    inside = [f"doc.`{c}`" for c in (id_col, text_col, source_col)]
-    copies = _copies(_kept(_sized(held, F.col("row"), *inside), "sizes"), leaf, fan).filter("copies > 0").select("row", "copies")
-    turns = held.join(copies, "row").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return turns.select("doc.*")
+    """The mix as documents: each row as often as it is taken, with its own columns, whatever their names.
+
+    Rows alike in id, text and source are interchangeable: each is repeated as often as all
+    of them can be, and what is left of their copies comes from one of them.
+    """
+    id_, text, source = (F.col(f"`{c}`") for c in (id_col, text_col, source_col))
+    key = F.xxhash64(id_, id_.isNull(), text, source, source.isNull())
+    copies = _copies(_kept(_sized(docs, key, f"`{id_col}`", f"`{text_col}`", f"`{source_col}`"), "sizes"), leaf, fan)
+    alike = copies.groupBy("row").agg(F.sum("copies").alias("all"), F.count(F.lit(1)).alias("rows")).filter("all > 0")
+    alike = _kept(alike.select("row", F.expr("all div rows AS each"), F.expr("all % rows AS rest")), "copies")
+    held = docs.select(F.struct("*").alias("doc"), key.alias("row"))
+    times = lambda name: F.explode(F.sequence(F.lit(1).cast("long"), F.col(name)))
+    every = held.join(alike.filter("each > 0").select("row", "each"), "row").select("doc", times("each").alias("copy"))
+    left = alike.filter("rest > 0").select("row", "rest")
+    if left.isEmpty():
+        return every.select("doc.*")
+    # Only rows that are alike leave a rest, so these are few texts.
+    one = held.join(left, "row").groupBy("row", "rest").agg(F.first("doc").alias("doc"))
+    return every.unionAll(one.select("doc", times("rest").alias("copy"))).select("doc.*")
