@@ -8,11 +8,11 @@ does not (its cost is at least ``gain`` higher), the window is a hit. Both thres
 calibrated on labelled texts, each measured with dictionaries it did not go into, and so is
 the share of toxic texts among those with as many hits, which is the score.
 
-Both dictionaries are trained on whole sampled texts, with the same budget. A window that a far
-larger share of the toxic texts has (``RATIO`` times that of the ordinary ones) goes into the
-toxic dictionary alone, any other into the ordinary one; so some ordinary or mislabelled texts
-with a toxic word do not take it away. Windows of two words go in where neither word stands
-out by itself. Equal texts count once.
+Both dictionaries are trained on whole sampled texts, with the same budget. A window that
+toxic texts have in far more settings (between other words; ``RATIO`` times as many for their
+number) goes into the toxic dictionary alone, any other into the ordinary one; so some ordinary
+or mislabelled texts with a toxic word do not take it away, and near copies teach nothing. Windows of two words are taken from toxic texts in which
+no word stands out by itself. Equal texts count once.
 
 Fitting uses a bounded sample of the labelled rows: at most ``SAMPLE`` texts a
 class, each of at most ``LONGEST`` bytes, chosen by a hash of the id. Scoring covers every text and its whole length.
@@ -167,12 +167,27 @@ def _dictionary(pieces: list[bytes], size: int, apart: Set[bytes] = frozenset())
         return plain[-size:]
 
 
+def _settings(texts: list[list[bytes]], wanted: Set[bytes]) -> Counter:
+    """In how many settings a window stands: different words before and behind it, over all texts."""
+    seen: dict[bytes, set[int]] = {}
+    for words in texts:
+        for i, w in enumerate(words):
+            if w in wanted:
+                seen.setdefault(w, set()).add(hash((words[i - 1] if i else b"", words[i + 1] if i + 1 < len(words) else b"")))
+    return Counter({w: len(s) for w, s in seen.items()})
+
+
 def _standing_out(toxic: list[list[bytes]], ordinary: list[list[bytes]], fewest: int) -> set[bytes]:
-    """The windows that a far larger share of the toxic texts has, and at least ``fewest`` of them."""
-    have, others = (Counter(w for text in texts for w in set(text)) for texts in (toxic, ordinary))
+    """The windows that the toxic texts have in far more settings for their number, and in at least ``fewest``.
+
+    Near copies repeat a window in one setting, so a group of them teaches nothing.
+    """
     least = max(fewest, round(SHARED * len(toxic)))
+    often = Counter(w for text in toxic for w in set(text))
+    wanted = {w for w, n in often.items() if w and n >= least}
+    have, others = _settings(toxic, wanted), _settings(ordinary, wanted)
     rate = (len(toxic) + 1) / (len(ordinary) + 1)
-    return {w for w, n in have.items() if w and n >= least and n + 0.5 >= RATIO * rate * (others[w] + 0.5)}
+    return {w for w, n in have.items() if n >= least and n + 0.5 >= RATIO * rate * (others[w] + 0.5)}
 
 
 def _paired(words: list[bytes], apart: set[bytes]) -> list[bytes]:
@@ -185,9 +200,10 @@ def _contents(rows: list[tuple[str, int]]) -> tuple[bytes, bytes] | None:
     if not toxic or not ordinary:
         return None
     marked = _standing_out(toxic, ordinary, 2)
-    pairs = _standing_out([_paired(t, marked) for t in toxic], [_paired(t, marked) for t in ordinary], 5)
+    unexplained = [t for t in toxic if not any(w in marked for w in t)]
+    pairs = _standing_out([_paired(t, marked) for t in unexplained], [_paired(t, marked) for t in ordinary], 5)
     found = [w for t in toxic for w in t if w in marked]
-    both = [p for t in toxic for p in _paired(t, marked) if p in pairs]
+    both = [p for t in unexplained for p in _paired(t, marked) if p in pairs]
     if not found and not both:  # too few texts to tell: what no ordinary text has
         plain = {w for t in ordinary for w in t}
         found = [w for t in toxic for w in t if w not in plain]
