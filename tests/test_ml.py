@@ -5,6 +5,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from meterline import scratch
@@ -41,6 +42,15 @@ def test_vector_positions_have_their_own_names(prepared, clean):
     assert len(prepared.train.first().features) == 26
 
 
+def test_a_fresh_model_scores_in_a_session_that_observed_a_table(spark, prepared, forest):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get == {"rows": 3} and forest.hasSummary
+    assert scoring.score_by_model(prepared.test, forest).count() == prepared.test.count()
+    figures = models.classifier_metrics(scoring.score_by_model(prepared.test, forest))
+    assert {r.metric for r in figures.collect()} == {"auc", "accuracy", "precision", "recall", "f1"}
+
+
 def test_split_keeps_every_row(prepared, clean):
     complete = features.complete_inputs(clean).count()
     assert prepared.train.count() + prepared.test.count() == complete
