@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import pytest
 from compare import connect, differences, plan_text
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 
@@ -48,3 +49,20 @@ def test_dropped_columns_writes_by_many_tasks(spark, small, tmp_path, monkeypatc
     assert len(list((tmp_path / "folders/orders_1995-01.parquet").glob("part-*"))) > 1
     monkeypatch.undo()
     assert rows == sorted(tuple(r) for r in catalog.dropped_columns(spark, small).collect())
+
+
+def test_trips_come_in_as_many_tasks_as_their_number_asks_for(spark, small, monkeypatch):
+    """Tasks hold a bounded number of trips however well the files are compressed, and copies are found where they lie."""
+    from meterline.operators import cleaning
+    from meterline.plans import bindings
+
+    plain = bindings.trips(spark, small)
+    monkeypatch.setattr(bindings, "LINES_A_TASK", 200)
+    laid = bindings.trips(spark, small)
+    tasks = -(-laid.count() // 200)
+    sizes = [r["count"] for r in laid.groupBy(F.spark_partition_id()).count().collect()]
+    assert tasks > bindings.LEAST_TASKS and len(sizes) > tasks // 2 and max(sizes) < 600
+    assert laid.exceptAll(plain).count() == 0 == plain.exceptAll(laid).count()
+    twice = cleaning.clean_rows(laid.unionByName(laid), bindings.ANY_PERIOD)
+    assert plan_text(twice).count("hashpartitioning(") <= 2  # one a branch of the union
+    assert twice.count() == cleaning.clean_rows(plain, bindings.ANY_PERIOD).count()
