@@ -189,7 +189,8 @@ def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
     alike = _kept(alike.select("row", F.expr("all div rows AS each"), F.expr("all % rows AS rest")), "copies")
     held = docs.select(F.struct("*").alias("doc"), key.alias("row"))
     times = lambda name: F.explode(F.sequence(F.lit(1).cast("long"), F.col(name)))
-    every = held.join(alike.filter("each > 0").select("row", "each"), "row").select("doc", times("each").alias("copy"))
+    # There are about as many counts as documents, so they are merged at any size and never broadcast.
+    every = held.join(alike.filter("each > 0").select("row", "each").hint("merge"), "row").select("doc", times("each").alias("copy"))
     left = alike.filter("rest > 0").select("row", "rest")
     if left.isEmpty():
         return every.select("doc.*")

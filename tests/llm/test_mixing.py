@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from compare import plan_text
 from odd_rows import prose
 from pyspark.sql import functions as F
 
@@ -93,3 +94,9 @@ def test_repeated_documents_and_no_rows(make_docs):
     got = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
     assert {i: n for i, n in taken.items() if n} == got
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.repeat(docs.limit(0)).count() == 0
+
+
+def test_copies_are_merged_with_documents_of_any_number(make_docs):
+    """The plan does not change from a broadcast of the counts to a shuffle as the documents grow."""
+    plan = plan_text(mixing.repeat(make_docs(*rows()), leaf=60, fan=3))
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan.split("SortMergeJoin")[0]
