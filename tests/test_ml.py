@@ -51,6 +51,50 @@ def test_a_fresh_model_scores_in_a_session_that_observed_a_table(spark, prepared
     assert {r.metric for r in figures.collect()} == {"auc", "accuracy", "precision", "recall", "f1"}
 
 
+def test_vectors_are_written_in_equal_shares(clean, tmp_path, monkeypatch):
+    """One file that holds everything before: training has a task for every core all the same."""
+    monkeypatch.setattr(features, "LEAST_ROWS", 100)
+    lumped = clean.coalesce(1)
+    ready = features.prepare(lumped, str(tmp_path / "prep"), keys=TRIP_KEYS)
+    sizes = [len(part) for part in ready.train.select(features.LABEL).rdd.glom().collect()]
+    assert len(sizes) == clean.sparkSession.sparkContext.defaultParallelism and max(sizes) < 1.25 * min(sizes)
+    assert sum(sizes) + ready.test.count() == features.complete_inputs(clean).count()
+
+
+def test_shares_of_many_and_few_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    shares = lambda count: features.evenly(spark.range(3), count).rdd.getNumPartitions()
+    assert [shares(n) for n in (0, 25_000, 10_000_000, cores * features.MOST_ROWS + 1)] == [1, 2, cores, 2 * cores]
+
+
+def trees_of(model):
+    return model.toDebugString.split("\n", 1)[1]
+
+
+def test_remembered_nodes_give_the_same_forest(spark, prepared, forest, monkeypatch):
+    """Each level goes on from the nodes of the one before where they fit into memory, and walks where not."""
+    assert forest.getCacheNodeIds()
+    monkeypatch.setattr(models, "executor_memory", lambda spark: 0)
+    walked = models.train_classifier(prepared.train, models.ForestSettings(trees=10, depth=5))
+    assert not walked.getCacheNodeIds() and trees_of(walked) == trees_of(forest)
+
+
+def test_tuning_remembers_nodes_and_finds_the_same(spark, prepared, monkeypatch):
+    grid = models.TuningGrid(trees=(2, 3), depths=(2,), least_rows=(1,), folds=2, sample=0.5)
+    found = models.tune_classifier(prepared.train, grid)
+    assert found.bestModel.getCacheNodeIds()
+    monkeypatch.setattr(models, "executor_memory", lambda spark: 0)
+    walked = models.tune_classifier(prepared.train, grid)
+    assert found.avgMetrics == walked.avgMetrics and trees_of(found.bestModel) == trees_of(walked.bestModel)
+
+
+def test_memory_bounds_what_is_remembered(spark):
+    memory = scratch.executor_memory(spark)
+    rows = memory // (models.ROW_BYTES + 50 * models.TREE_BYTES)
+    assert 0 < memory < 4 << 30
+    assert models.remembers(rows // 2, 50, spark) and not models.remembers(2 * rows, 50, spark)
+
+
 def test_split_keeps_every_row(prepared, clean):
     complete = features.complete_inputs(clean).count()
     assert prepared.train.count() + prepared.test.count() == complete
