@@ -5,6 +5,7 @@ from dataclasses import replace
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -67,6 +68,27 @@ def test_shares_of_many_and_few_rows(spark):
     assert [shares(n) for n in (0, 25_000, 10_000_000, cores * features.MOST_ROWS + 1)] == [1, 2, cores, 2 * cores]
 
 
+def test_rows_are_dealt_without_sorting_and_none_is_lost(spark, tmp_path):
+    """Sorting before the shares, as before, goes to disk where a task reads millions of rows."""
+    path = str(tmp_path / "rows")
+    spark.range(0, 200_000, 1, 3).withColumn("text", F.lit("the same")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    shared = features.evenly(rows, 200_000)
+    assert "RoundRobinPartitioning" not in shared._jdf.queryExecution().executedPlan().toString()
+    sizes = [len(part) for part in shared.rdd.glom().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) - min(sizes) <= rows.rdd.getNumPartitions()
+    assert shared.columns == rows.columns and shared.agg(F.sum("id")).first()[0] == 199_999 * 100_000
+
+
+def test_a_written_table_is_not_written_again(spark, clean, prepared, tmp_path):
+    ready = features.prepare(clean, str(tmp_path / "prep"), keys=TRIP_KEYS, written=True)
+    assert not scratch.path_exists(spark, str(tmp_path / "prep" / "rows"))
+    near = lambda rows: rows.select(features.LABEL, F.transform(vector_to_array("features"), lambda x: F.round(x, 6)))
+    for mine, other in ((ready.train, prepared.train), (ready.test, prepared.test)):
+        assert mine.count() == other.count() and near(mine).exceptAll(near(other)).isEmpty()
+    assert ready.classes.exceptAll(prepared.classes).isEmpty()
+
+
 def trees_of(model):
     return model.toDebugString.split("\n", 1)[1]
 
@@ -95,6 +117,22 @@ def test_memory_bounds_what_is_remembered(spark):
     assert models.remembers(rows // 2, 50, spark) and not models.remembers(2 * rows, 50, spark)
 
 
+def test_columns_derived_after_the_layout_are_the_same(spark, small, clean, tmp_path):
+    """What follows from a row alone does not pass through the shuffle by month."""
+    path, widths = str(tmp_path / "clean"), []
+    kept = cleaning.kept_rows(trips(spark, small), ANY_PERIOD)
+
+    def derive(laid_out):
+        widths.append(len(laid_out.columns))
+        return cleaning.finished(laid_out)
+
+    writers.write_partitioned(kept, path, derive=derive)
+    back = readers.read_table(spark, path)
+    assert widths == [len(kept.columns)] and widths[0] + 10 == len(back.columns)
+    assert back.columns == clean.columns and back.count() == clean.count()
+    assert back.exceptAll(clean).isEmpty()
+
+
 def test_split_keeps_every_row(prepared, clean):
     complete = features.complete_inputs(clean).count()
     assert prepared.train.count() + prepared.test.count() == complete
