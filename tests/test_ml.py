@@ -248,6 +248,31 @@ def test_tuning(spark, prepared, forest):
     assert all(r.delta == pytest.approx(r.tuned - r.baseline, abs=1e-4) for r in compared)
 
 
+def test_tuning_works_on_every_training_row(prepared, monkeypatch):
+    """By default nothing is drawn: each row is in one validation part, and the best model is fitted on all of them."""
+    validated, evaluator = [], models._roc_evaluator("generous_tipper")
+    evaluate = type(evaluator).evaluate
+
+    def counting(self, rows, *params):
+        validated.append(rows.count())
+        return evaluate(self, rows, *params)
+
+    monkeypatch.setattr(type(evaluator), "evaluate", counting)
+    found = models.tune_classifier(prepared.train, models.TuningGrid(trees=(2,), depths=(2,), least_rows=(1,)))
+    assert len(validated) == 3 and sum(validated) == prepared.train.count()
+    assert found.bestModel.summary.predictions.count() == prepared.train.count()
+
+
+def test_parts_of_folds_share_no_row(prepared):
+    """Whole rows are not held for the folds, yet both parts meet the same numbers."""
+    drawn = lambda: prepared.train.select("*", F.rand(models.SEED).alias("at"))
+    one, two = drawn().filter("at >= 0.3"), drawn().filter("NOT at >= 0.3")
+    columns = ["features", "generous_tipper"]
+    together = one.select(columns).unionAll(two.select(columns))
+    near = lambda rows: rows.select("generous_tipper", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)))
+    assert near(together).exceptAll(near(prepared.train)).isEmpty() and together.count() == prepared.train.count()
+
+
 # --- jobs --------------------------------------------------------------------
 
 
