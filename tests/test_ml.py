@@ -68,6 +68,27 @@ def test_shares_of_many_and_few_rows(spark):
     assert [shares(n) for n in (0, 25_000, 10_000_000, cores * features.MOST_ROWS + 1)] == [1, 2, cores, 2 * cores]
 
 
+def test_similar_vectors_are_written_together(spark, clean, tmp_path, monkeypatch):
+    """In each share, part by part; the order outlives the write of the parts."""
+    monkeypatch.setattr(features, "LEAST_ROWS", 100)
+    ready = features.prepare(clean, str(tmp_path / "prep"), keys=TRIP_KEYS, written=True)
+    names = [*ready.train.inputFiles(), *ready.test.inputFiles()]
+    assert len(names) > 2
+    for name in names:
+        signs = [tuple(x > 0 for x in r.features) for r in spark.read.parquet(name).collect()]
+        assert signs == sorted(signs) and len(set(signs)) > 1
+
+
+def test_likeness_of_odd_vectors(spark):
+    """Long vectors count by their first positions; not-a-number sorts as large, as it does in Spark."""
+    from pyspark.ml.linalg import Vectors
+
+    rows = [[1.0, -1.0], [0.0, 2.0], [float("nan"), 0.0], [], [1.0] * 100, [-1.0] * 99 + [1.0]]
+    frame = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(rows)], ["id", "features"])
+    found = {r.id: r.bits for r in frame.select("id", features.likeness("features").alias("bits")).collect()}
+    assert found == {0: 2, 1: 1, 2: 2, 3: 0, 4: (1 << 62) - 1, 5: 0}
+
+
 def test_rows_are_dealt_without_sorting_and_none_is_lost(spark, tmp_path):
     """Sorting before the shares, as before, goes to disk where a task reads millions of rows."""
     path = str(tmp_path / "rows")
