@@ -10,6 +10,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from meterline import scratch
+from meterline.functions import vectors
 from meterline.ml import features, models
 from meterline.operators import cleaning, evaluation, scoring
 from meterline.plans import jobs
@@ -85,7 +86,7 @@ def test_likeness_of_odd_vectors(spark):
 
     rows = [[1.0, -1.0], [0.0, 2.0], [float("nan"), 0.0], [], [1.0] * 100, [-1.0] * 99 + [1.0]]
     frame = spark.createDataFrame([(i, Vectors.dense(r)) for i, r in enumerate(rows)], ["id", "features"])
-    found = {r.id: r.bits for r in frame.select("id", features.likeness("features").alias("bits")).collect()}
+    found = {r.id: r.bits for r in frame.select("id", vectors.likeness("features").alias("bits")).collect()}
     assert found == {0: 2, 1: 1, 2: 2, 3: 0, 4: (1 << 62) - 1, 5: 0}
 
 
@@ -232,6 +233,20 @@ def test_requests_are_scored_by_the_model(spark, prepared, forest):
     assert "Python" not in scored._jdf.queryExecution().executedPlan().toString()
 
 
+def test_gathered_requests_get_the_same_scores(spark, small, prepared, forest):
+    """The forest meets similar requests one after the other; none is lost and each is scored as before."""
+    from meterline.operators import rules
+    from meterline.plans import catalog
+
+    valid, _ = rules.quarantine(catalog._requests(spark, small), rules.request_rules())
+    plain, near = (scoring.score_requests(valid, "model", prepared.stages, forest, gather=g) for g in (False, True))
+    one, two = (scoring.responses(scored, *TRIP_KEYS) for scored in (plain, near))
+    assert one.count() == two.count() > 1000 and one.columns == two.columns
+    assert one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()
+    met = [tuple(x > 0 for x in r.features) for r in near.select("features").coalesce(1).collect()]
+    assert met == sorted(met) and len(set(met)) > 1
+
+
 def test_regressor_solves_the_ridge_equations(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(300, 2)) * [1.0, 5.0]
